@@ -1,14 +1,9 @@
-"""Calendar parts, calendar buckets and travel time."""
+"""Calendar parts, calendar buckets and travel time, as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from strata import fixed_values as fv
 
-_PARTS = {"month": F.month, "day": F.dayofmonth, "hour": F.hour}
-
 
 def check_grain(grain: str) -> str:
     if grain not in fv.GRAINS:
@@ -16,18 +11,18 @@ def check_grain(grain: str) -> str:
     return grain
 
 
-def calendar_part(grain: str, ts: str | Column) -> Column:
+def calendar_part(grain: str, ts: str) -> str:
     """Month of year (1-12), day of month (1-31) or hour of day (0-23): equal parts of different
     months or years fall together."""
-    return _PARTS[check_grain(grain)](ts)
+    return f"{check_grain(grain)}({ts})"
 
 
-def calendar_bucket(grain: str, ts: str, ts_type: str) -> Column:
+def calendar_bucket(grain: str, ts: str, ts_type: str) -> str:
     """Start of the month, day or hour ``ts`` lies in, in the type of ``ts``: nothing is pooled."""
-    return F.date_trunc(check_grain(grain), F.col(ts)).cast(ts_type)
+    return f"cast(date_trunc('{check_grain(grain)}', {ts}) AS {ts_type})"
 
 
-def three_parts(ts: str) -> dict[str, Column]:
+def three_parts(ts: str) -> dict[str, str]:
     """The keys of the month/day/hour grain."""
     return {
         fv.MONTH_SLICE: calendar_part("month", ts),
@@ -36,6 +31,6 @@ def three_parts(ts: str) -> dict[str, Column]:
     }
 
 
-def travel_seconds(pickup: str = fv.PICKUP, dropoff: str = fv.DROPOFF) -> Column:
+def travel_seconds(pickup: str = fv.PICKUP, dropoff: str = fv.DROPOFF) -> str:
     """Whole seconds between pickup and dropoff, as a long."""
-    return F.unix_timestamp(F.col(dropoff)) - F.unix_timestamp(F.col(pickup))
+    return f"unix_timestamp({dropoff}) - unix_timestamp({pickup})"

@@ -8,17 +8,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def morton_key(columns: Sequence[Column], bits: int) -> Column:
-    """Interleave the low ``bits`` bits of small non-negative integer columns into one long.
+def morton_key(columns: Sequence[str], bits: int) -> Column:
+    """Interleave the low ``bits`` bits of small non-negative integer expressions into one long.
 
     Rows close in all columns get close keys, so a range of the key is a compact block in each.
     """
     width = len(columns)
     if not columns or bits * width > 63:
         raise ValueError("the interleaved key has to fit in 63 bits")
-    key = F.lit(0).cast("bigint")
-    for bit in range(bits):
-        for place, column in enumerate(columns):
-            digit = F.shiftright(column.cast("bigint"), bit).bitwiseAND(F.lit(1).cast("bigint"))
-            key = key.bitwiseOR(F.shiftleft(digit, bit * width + place))
-    return key
+    digits = [
+        f"shiftleft(bigint(shiftright({column}, {bit}) & 1), {bit * width + place})"
+        for bit in range(bits)
+        for place, column in enumerate(columns)
+    ]
+    return F.expr(" | ".join(digits))

@@ -1,59 +1,54 @@
-"""Sums that do not depend on the order of rows.
+"""Sums that do not depend on the order of rows, as SQL expressions.
 
 A sum of doubles changes in its last digits with the partitioning. Money and distances have few
 decimals, so a value is split into whole units and a count of small ticks, and both are summed as
 longs: the answer is the same whatever the cluster does, partial sums merge without loss, and the
-adding stays long arithmetic in generated code (decimal sums gave the same totals at over twice the
-cost of the whole roll-up). A sum past the range of a long raises under ANSI.
+adding stays long arithmetic in generated code (decimal sums give the same totals, but more than
+doubled the time of the roll-up). A sum past the range of a long raises under ANSI.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Values are taken to four decimals: two more than money and distances have.
 DECIMALS = 4
-_INFINITY = float("inf")
+_INFINITY = "double('Infinity')"
 
 
-def unit_sum(value: Column) -> Column:
+def unit_sum(value: str) -> str:
     """Sum of the whole units of the finite values."""
-    return F.sum(_finite(value).cast("bigint"))
+    return f"sum(bigint({_finite(value)}))"
 
 
-def tick_sum(value: Column, decimals: int = DECIMALS) -> Column:
+def tick_sum(value: str, decimals: int = DECIMALS) -> str:
     """Sum of what is left of the finite values, in ticks of ``10 ** -decimals``."""
     finite = _finite(value)
-    rest = finite - finite.cast("bigint").cast("double")
-    return F.sum(F.rint(rest * float(10**decimals)).cast("bigint"))
+    return f"sum(bigint(rint(({finite} - double(bigint({finite}))) * {10**decimals}D)))"
 
 
-def joined_total(units: Column, ticks: Column, low: Column, high: Column, decimals: int = DECIMALS) -> Column:
+def joined_total(units: str, ticks: str, low: str, high: str, decimals: int = DECIMALS) -> str:
     """The total as a double, from the two sums and the extremes of the same values.
 
     NaN and infinities are left out of the sums and show in the extremes: they decide the total
     just as they would in a sum of doubles.
     """
-    whole = units.cast(f"decimal({19 + decimals},{decimals})")
-    rest = ticks.cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-decimals))
-    all_finite = (F.abs(low) < _INFINITY) & (F.abs(high) < _INFINITY)
-    return F.when(~all_finite, low + high).otherwise((whole + rest).cast("double"))
+    whole = f"cast({units} AS decimal({19 + decimals},{decimals}))"
+    rest = f"cast({ticks} AS decimal(19,0)) * {10**-decimals:.{decimals}f}BD"
+    all_finite = f"abs({low}) < {_INFINITY} AND abs({high}) < {_INFINITY}"
+    return f"CASE WHEN {all_finite} THEN double({whole} + {rest}) ELSE {low} + {high} END"
 
 
-def mean_of(total: Column, count: Column) -> Column:
+def mean_of(total: str, count: str) -> str:
     """Total over count as a double; NULL where nothing was counted."""
-    return total.cast("double") / F.nullif(count, F.lit(0))
+    return f"({total}) / nullif({count}, 0)"
 
 
-def exact_mean(value: Column, decimals: int = DECIMALS) -> Column:
-    """Mean of the non-null values, as an aggregate expression."""
-    total = joined_total(unit_sum(value), tick_sum(value, decimals), F.min(value), F.max(value), decimals)
-    return mean_of(total, F.count(value))
+def exact_mean(value: str, decimals: int = DECIMALS) -> str:
+    """Mean of the non-null values, as an aggregate."""
+    low, high = f"min({value})", f"max({value})"
+    total = joined_total(unit_sum(value), tick_sum(value, decimals), low, high, decimals)
+    return mean_of(total, f"count({value})")
 
 
-def _finite(value: Column) -> Column:
+def _finite(value: str) -> str:
     # NaN sorts above every number in Spark, so one comparison drops it with the infinities.
-    return F.when(F.abs(value) < _INFINITY, value.cast("double"))
+    return f"CASE WHEN abs({value}) < {_INFINITY} THEN double({value}) END"

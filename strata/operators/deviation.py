@@ -31,5 +31,5 @@ def with_baseline(
     The mean is a scalar subquery: one aggregate over the pruned column, whose single value is then
     a constant of the second scan. Nothing is gathered in one task and no rows are shuffled.
     """
-    overall = rows.agg(exact_mean(F.col(value), decimals)).scalar()
+    overall = rows.agg(F.expr(exact_mean(value, decimals))).scalar()
     return rows.withColumn(mean, overall).withColumn(deviation, F.col(value) - F.col(mean))

@@ -77,9 +77,9 @@ def harmonize(
     columns = []
     for name in rows.columns:
         target = canonical.get(name.lower(), name)
-        column = F.col(f"`{name}`")
-        columns.append((column.try_cast(types[target]) if target in types else column).alias(target))
-    return rows.select(*columns)
+        value = f"try_cast(`{name}` AS {types[target]})" if target in types else f"`{name}`"
+        columns.append(f"{value} AS `{target}`")
+    return rows.selectExpr(*columns)
 
 
 def cast_losses(rows: DataFrame, types: Mapping[str, str] = fv.REPAIRED_TYPES) -> DataFrame:
@@ -91,19 +91,14 @@ def cast_losses(rows: DataFrame, types: Mapping[str, str] = fv.REPAIRED_TYPES) -
     repaired = {target: present[target.lower()] for target in types if target.lower() in present}
     counts = []
     for target, name in repaired.items():
-        cast = F.col(name).try_cast(types[target])
-        counts.append(F.count_if(F.col(name).isNotNull() & cast.isNull()).alias(f"lost_{target}"))
-        counts.append(F.count_if(cast != F.col(name)).alias(f"cut_{target}"))
-    per_file = rows.groupBy(fv.FILE_NAME).agg(*counts)
-    lines = [
-        F.struct(
-            F.lit(target).alias(fv.FIELD_NAME),
-            F.col(f"lost_{target}").alias("values_lost"),
-            F.col(f"cut_{target}").alias("fractions_cut"),
+        cast = f"try_cast(`{name}` AS {types[target]})"
+        counts.append(
+            f"struct('{target}' AS {fv.FIELD_NAME},"
+            f" count_if(`{name}` IS NOT NULL AND {cast} IS NULL) AS values_lost,"
+            f" count_if({cast} != `{name}`) AS fractions_cut)"
         )
-        for target in repaired
-    ]
-    return per_file.select(fv.FILE_NAME, F.inline(F.array(*lines)))
+    per_file = rows.groupBy(fv.FILE_NAME).agg(F.expr(f"array({', '.join(counts)})").alias("counts"))
+    return per_file.selectExpr(fv.FILE_NAME, "inline(counts)")
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
@@ -16,10 +16,10 @@ from strata.functions.calendar import travel_seconds
 
 @dataclass(frozen=True)
 class Gate:
-    """A named predicate. A row passes where it is true; false and NULL both fail."""
+    """A named SQL predicate. A row passes where it is true; false and NULL both fail."""
 
     name: str
-    keeps: Column
+    keeps: str
 
 
 def trip_gates(options: GateOptions = GateOptions()) -> list[Gate]:
@@ -28,40 +28,39 @@ def trip_gates(options: GateOptions = GateOptions()) -> list[Gate]:
     Bounds are typed literals, so every gate that compares one column with constants reaches the
     Parquet scan when the gates are applied to a stored table.
     """
-    pickup, dropoff = F.col(fv.PICKUP), F.col(fv.DROPOFF)
+    pickup, dropoff = fv.PICKUP, fv.DROPOFF
 
     # A date compares as its midnight, for timestamps with and without time zone alike.
     if options.duration_rule == "calendar_day":
-        not_too_long = dropoff <= F.date_add(pickup, 1)
+        not_too_long = f"{dropoff} <= date_add({pickup}, 1)"
     else:
-        not_too_long = travel_seconds() <= 86_400
+        not_too_long = f"{travel_seconds()} <= 86400"
 
     if options.window_end == "inclusive_midnight":
-        in_window = pickup.between(F.lit(options.first_day), F.lit(options.last_day))
+        in_window = f"{pickup} BETWEEN DATE '{options.first_day}' AND DATE '{options.last_day}'"
     else:
         day_after = options.last_day + dt.timedelta(days=1)
-        in_window = (pickup >= F.lit(options.first_day)) & (pickup < F.lit(day_after))
+        in_window = f"{pickup} >= DATE '{options.first_day}' AND {pickup} < DATE '{day_after}'"
 
+    (low_rate, high_rate), (low_zone, high_zone) = options.rate_codes, options.zones
     return [
-        Gate("passenger", F.col("passenger_count") > 0),
-        Gate("fare", F.col("fare_amount") > 0),
-        Gate("total", F.col("total_amount") > 0),
-        Gate("total_covers_fare", F.col("total_amount") >= F.col("fare_amount")),
-        Gate("distance", F.col("trip_distance") > 0),
-        Gate("rate_code", F.col("RatecodeID").between(*options.rate_codes)),
-        Gate("pickup_zone", F.col("PULocationID").between(*options.zones)),
-        Gate("dropoff_zone", F.col("DOLocationID").between(*options.zones)),
-        Gate("chronology", pickup < dropoff),
+        Gate("passenger", "passenger_count > 0"),
+        Gate("fare", "fare_amount > 0"),
+        Gate("total", "total_amount > 0"),
+        Gate("total_covers_fare", "total_amount >= fare_amount"),
+        Gate("distance", "trip_distance > 0"),
+        Gate("rate_code", f"RatecodeID BETWEEN {low_rate} AND {high_rate}"),
+        Gate("pickup_zone", f"PULocationID BETWEEN {low_zone} AND {high_zone}"),
+        Gate("dropoff_zone", f"DOLocationID BETWEEN {low_zone} AND {high_zone}"),
+        Gate("chronology", f"{pickup} < {dropoff}"),
         Gate("duration", not_too_long),
         Gate("pickup_window", in_window),
     ]
 
 
 def apply_gates(rows: DataFrame, gates: Sequence[Gate]) -> DataFrame:
-    """Rows that pass every gate. Catalyst merges the filters into one."""
-    for gate in gates:
-        rows = rows.filter(gate.keeps)
-    return rows
+    """Rows that pass every gate, as one conjunction."""
+    return rows.filter(" AND ".join(f"({gate.keeps})" for gate in gates)) if gates else rows
 
 
 def month_of(rows: DataFrame, month: int, ts: str = fv.PICKUP) -> DataFrame:
@@ -75,37 +74,27 @@ def quality_ladder(rows: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     Columns: step, gate, rows_before, rows_removed, rows_null (the part of rows_removed for which
     the gate could not decide because of a NULL), rows_remaining.
 
-    Each row is labelled with the first gate it fails and only the labels are counted, so a task
-    hands on at most two rows per gate. The counts are an ordinary aggregate, so a task that runs
-    twice is counted once.
+    Each row is labelled with the first gate it fails, negative where that gate met a NULL, and only
+    the labels are counted: a task hands on at most two counts per gate. The counts are an ordinary
+    aggregate, so a task that runs twice is counted once.
     """
-    labels = [F.when(~F.coalesce(gate.keeps, F.lit(False)), step) for step, gate in enumerate(gates, 1)]
-    undecided = F.lit(False)
-    for gate in reversed(gates):
-        undecided = F.when(gate.keeps.isNull(), True).when(~gate.keeps, False).otherwise(undecided)
-
-    passed_all = len(gates) + 1
-    counted = (
-        rows.select(
-            F.coalesce(*labels, F.lit(passed_all)).alias("failed_at"), undecided.alias("undecided")
-        )
-        .groupBy("failed_at", "undecided")
-        .agg(F.count("*").alias("n"))
+    branches = " ".join(
+        f"WHEN ({gate.keeps}) IS NULL THEN {-step} WHEN NOT ({gate.keeps}) THEN {step}"
+        for step, gate in enumerate(gates, 1)
     )
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
-
-    failed_at = F.col("failed_at")
-    steps = [
-        F.struct(
-            F.lit(step).alias("step"),
-            F.lit(gate.name).alias("gate"),
-            total(failed_at >= step).alias("rows_before"),
-            total(failed_at == step).alias("rows_removed"),
-            total((failed_at == step) & F.col("undecided")).alias("rows_null"),
-            total(failed_at > step).alias("rows_remaining"),
-        )
+    passed_all = len(gates) + 1
+    labelled = rows.select(F.expr(f"CASE {branches} ELSE {passed_all} END").alias("label"))
+    counted = labelled.groupBy("label").agg(F.count("*").alias("n"))
+
+    def sum_where(condition: str) -> str:
+        return f"coalesce(sum(n) FILTER (WHERE {condition}), 0L)"
+
+    steps = ", ".join(
+        f"named_struct('step', {step}, 'gate', '{gate.name}',"
+        f" 'rows_before', {sum_where(f'abs(label) >= {step}')},"
+        f" 'rows_removed', {sum_where(f'abs(label) = {step}')},"
+        f" 'rows_null', {sum_where(f'label = {-step}')},"
+        f" 'rows_remaining', {sum_where(f'abs(label) > {step}')})"
         for step, gate in enumerate(gates, 1)
-    ]
-    return counted.agg(F.array(*steps).alias("steps")).select(F.inline("steps"))
+    )
+    return counted.agg(F.expr(f"array({steps})").alias("steps")).selectExpr("inline(steps)")

@@ -8,19 +8,25 @@ again, so the month, day, hour and focus tables all come from one scan at the mo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
-from strata.functions.calendar import calendar_bucket, calendar_part, three_parts, travel_seconds
+from strata.functions.calendar import (
+    calendar_bucket,
+    calendar_part,
+    check_grain,
+    three_parts,
+    travel_seconds,
+)
 from strata.functions.numeric import DECIMALS, joined_total, mean_of, tick_sum, unit_sum
 
 ALL_STATS = ("total", "avg", "max", "min")
 ROWS = "_rows"
-_FOLDS = {"sum": F.sum, "units": F.sum, "ticks": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+_FOLDS = {"count": "sum", "max": "max", "min": "min"}
 
 
 @dataclass(frozen=True)
@@ -40,34 +46,29 @@ class Measure:
     def _part(self, kind: str) -> str:
         return f"_{kind}_{self.column}"
 
-    def parts(self) -> dict[str, Column]:
-        """Mergeable aggregates, by kind."""
-        value = F.col(self.column)
+    def parts(self) -> dict[str, str]:
+        """Mergeable aggregates, by column name."""
+        column = self.column
         if self.decimals is None:
-            sums = {"sum": F.sum(value)}
+            sums = {"sum": f"sum({column})"}
         else:
-            sums = {"units": unit_sum(value), "ticks": tick_sum(value, self.decimals)}
-        return sums | {"count": F.count(value), "max": F.max(value), "min": F.min(value)}
+            sums = {"units": unit_sum(column), "ticks": tick_sum(column, self.decimals)}
+        others = {"count": f"count({column})", "max": f"max({column})", "min": f"min({column})"}
+        return {self._part(kind): part for kind, part in (sums | others).items()}
 
-    def named_parts(self) -> list[Column]:
-        return [part.alias(self._part(kind)) for kind, part in self.parts().items()]
+    def merged_parts(self) -> dict[str, str]:
+        """The same parts over rows that hold parts."""
+        return {name: f"{_FOLDS.get(name.split('_')[1], 'sum')}({name})" for name in self.parts()}
 
-    def merged_parts(self) -> list[Column]:
-        return [_FOLDS[kind](self._part(kind)).alias(self._part(kind)) for kind in self.parts()]
-
-    def metrics(self) -> list[Column]:
-        have = {kind: F.col(self._part(kind)) for kind in self.parts()}
+    def metrics(self) -> dict[str, str]:
+        """The finished metrics over rows that hold parts."""
+        low, high, count = self._part("min"), self._part("max"), self._part("count")
         if self.decimals is None:
-            total = have["sum"]
+            total = self._part("sum")
         else:
-            total = joined_total(have["units"], have["ticks"], have["min"], have["max"], self.decimals)
-        finished = {
-            "total": total,
-            "avg": mean_of(total, have["count"]),
-            "max": have["max"],
-            "min": have["min"],
-        }
-        return [finished[stat].alias(self.metric(stat)) for stat in self.stats]
+            total = joined_total(self._part("units"), self._part("ticks"), low, high, self.decimals)
+        finished = {"total": total, "avg": mean_of(total, count), "max": high, "min": low}
+        return {self.metric(stat): finished[stat] for stat in self.stats}
 
 
 def trip_measures() -> list[Measure]:
@@ -80,35 +81,44 @@ def trip_measures() -> list[Measure]:
 
 
 def with_travel_time(trips: DataFrame) -> DataFrame:
-    return trips.withColumn("travel_time_seconds", travel_seconds())
+    return trips.withColumn("travel_time_seconds", F.expr(travel_seconds()))
 
 
-def summarise(
-    rows: DataFrame, keys: dict[str, Column], measures: Sequence[Measure], count_name: str = "total_trips"
-) -> DataFrame:
-    """Group by computed keys and finish the metrics: one partial and one final hash aggregate."""
-    return finish(part_aggregate(rows, keys, measures), list(keys), measures, count_name)
+def _named(expressions: Mapping[str, str]) -> list[Column]:
+    return [F.expr(text).alias(name) for name, text in expressions.items()]
 
 
-def part_aggregate(rows: DataFrame, keys: dict[str, Column], measures: Sequence[Measure]) -> DataFrame:
-    """Group by computed keys, keeping the mergeable parts."""
-    parts = [part for measure in measures for part in measure.named_parts()]
-    named = [key.alias(name) for name, key in keys.items()]
-    return rows.groupBy(*named).agg(F.count("*").alias(ROWS), *parts)
+def part_aggregate(rows: DataFrame, keys: Mapping[str, str], measures: Sequence[Measure]) -> DataFrame:
+    """Group by key expressions, keeping the mergeable parts: one partial and one final hash
+    aggregate, whose shuffle carries one row per group and task."""
+    parts = {ROWS: "count(*)"}
+    for measure in measures:
+        parts |= measure.parts()
+    return rows.groupBy(*_named(keys)).agg(*_named(parts))
 
 
-def merge_parts(cells: DataFrame, keys: dict[str, Column], measures: Sequence[Measure]) -> DataFrame:
+def merge_parts(cells: DataFrame, keys: Mapping[str, str], measures: Sequence[Measure]) -> DataFrame:
     """Bring parts to a coarser key."""
-    parts = [part for measure in measures for part in measure.merged_parts()]
-    named = [key.alias(name) for name, key in keys.items()]
-    return cells.groupBy(*named).agg(F.sum(ROWS).alias(ROWS), *parts)
+    parts = {ROWS: f"sum({ROWS})"}
+    for measure in measures:
+        parts |= measure.merged_parts()
+    return cells.groupBy(*_named(keys)).agg(*_named(parts))
 
 
 def finish(
     parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure], count_name: str = "total_trips"
 ) -> DataFrame:
-    metrics = [metric for measure in measures for metric in measure.metrics()]
-    return parts.select(*keys, F.col(ROWS).alias(count_name), *metrics)
+    metrics = {count_name: ROWS}
+    for measure in measures:
+        metrics |= measure.metrics()
+    return parts.select(*keys, *_named(metrics))
+
+
+def summarise(
+    rows: DataFrame, keys: Mapping[str, str], measures: Sequence[Measure], count_name: str = "total_trips"
+) -> DataFrame:
+    """Group by key expressions and finish the metrics."""
+    return finish(part_aggregate(rows, keys, measures), list(keys), measures, count_name)
 
 
 def rollup(
@@ -147,7 +157,7 @@ def trip_cells(trips: DataFrame) -> DataFrame:
 
 
 def gold_by_from_cells(cells: DataFrame, grain: str) -> DataFrame:
-    key = F.col({"month": fv.MONTH_SLICE, "day": fv.DAY_SLICE, "hour": fv.HOUR_SLICE}[grain])
+    key = {"month": fv.MONTH_SLICE, "day": fv.DAY_SLICE, "hour": fv.HOUR_SLICE}[check_grain(grain)]
     measures = trip_measures()
     return finish(merge_parts(cells, {fv.TIME_SLICE: key}, measures), [fv.TIME_SLICE], measures)
 

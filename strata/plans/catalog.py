@@ -254,8 +254,10 @@ def narrow_projection(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def calendar_parts(spark: SparkSession, folder: str) -> DataFrame:
-    parts = trips(spark, folder).withColumns(three_parts(fv.PICKUP) | {"seconds": travel_seconds()})
-    return parts.select(fv.PICKUP, fv.DROPOFF, fv.MONTH_SLICE, fv.DAY_SLICE, fv.HOUR_SLICE, "seconds")
+    parts = [f"{text} AS {name}" for name, text in three_parts(fv.PICKUP).items()]
+    return trips(spark, folder).selectExpr(
+        fv.PICKUP, fv.DROPOFF, *parts, f"{travel_seconds()} AS seconds"
+    )
 
 
 def audit_stamp(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,7 +333,7 @@ def cluster_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "zorder")
     parts = three_parts(fv.PICKUP)
-    keys = {name: parts[name] for name in (fv.DAY_SLICE, fv.HOUR_SLICE)}
+    keys = [parts[fv.DAY_SLICE], parts[fv.HOUR_SLICE]]
     sinks.write_table(sinks.zorder_rows(trips(spark, folder), keys, bits=5, files=16), target)
     return sources.read_table(spark, target)
 

@@ -90,13 +90,13 @@ def cluster_rows(
 
 def zorder_rows(
     rows: DataFrame,
-    by: Mapping[str, Column],
+    by: Sequence[str],
     bits: int,
     files: int | None = None,
     tie_break: Sequence[str | Column] | None = None,
 ) -> DataFrame:
-    """Cluster on several small integer keys at once, so a filter on any of them skips files."""
-    return cluster_rows(rows, [morton_key(list(by.values()), bits)], files, tie_break)
+    """Cluster on several small integer expressions at once, so a filter on any of them skips files."""
+    return cluster_rows(rows, [morton_key(by, bits)], files, tie_break)
 
 
 def optimize_into(spark: SparkSession, source: str, target: str, by: Sequence[str], files: int | None = None) -> None:

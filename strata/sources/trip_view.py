@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
 
@@ -25,44 +24,39 @@ def read_given_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def trip_view(lineitem: DataFrame) -> DataFrame:
     """The 14 trip columns computed from ``lineitem``.
 
-    Values that several columns use are columns of an earlier projection, so each is computed once.
+    Prices and discounts have two decimals and keys are not negative. Money is computed in whole
+    cents (``cents``, ``fare``) and hundredths of cents (``tip``) and divided once at the end, which
+    gives the double nearest to the decimal result. Values that several columns use are columns of an
+    earlier projection, so each is computed once.
     """
-    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    line, flag = F.col("l_linenumber"), F.col("l_returnflag")
-    price, fare, tip, start = F.col("price"), F.col("fare"), F.col("tip"), F.col("start")
-
-    minutes = F.when(part % 211 == 0, 1500).otherwise(((part * 13 + line) % 240 - 5).cast("int"))
-    total = (
-        F.when(supplier == 17, F.lit(-1.0))
-        .when(supplier % 31 == 0, (fare - 10).cast("double"))
-        .otherwise((fare + tip).cast("double"))
-    )
-    columns = {
-        "VendorID": (supplier % 2 + 1).cast("int"),
-        fv.PICKUP: F.timestamp_add("MINUTE", start, F.col("l_shipdate")),
-        fv.DROPOFF: F.timestamp_add("MINUTE", start + minutes, F.col("l_shipdate")),
-        "passenger_count": F.col("l_quantity").cast("bigint") % 7,
-        "trip_distance": F.when(line == 7, 0.0).otherwise(F.col("l_quantity") * 0.25),
-        "RatecodeID": part % 7 + 1,
-        "PULocationID": (part % 265 + 1).cast("int"),
-        "DOLocationID": (order % 265 + 1).cast("int"),
-        "fare_amount": fare.cast("double"),
-        "tip_amount": tip.cast("double"),
-        "total_amount": total,
-        "congestion_surcharge": F.when(F.col("l_linestatus") == "O", 2.5).otherwise(0.0),
-        "improvement_surcharge": F.lit(1.0),
-        "airport_fee": F.when(flag == "R", 1.25).when(flag == "A", 0.0),
-    }
     return (
-        lineitem.withColumn("price", F.col("l_extendedprice").cast("decimal(12,2)"))
-        .withColumns(
-            {
-                "fare": F.when(part % 97 == 0, -price).otherwise(price),
-                "tip": (price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(16,4)"),
-                "start": F.when(line == 2, 0).otherwise(((order * 37 + line * 101) % 1440).cast("int")),
-            }
+        lineitem.selectExpr("*", "bigint(rint(l_extendedprice * 100)) AS cents")
+        .selectExpr(
+            "*",
+            "CASE WHEN l_partkey % 97 = 0 THEN -cents ELSE cents END AS fare",
+            "cents * bigint(rint(l_discount * 100)) AS tip",
+            "CASE WHEN l_linenumber = 2 THEN 0"
+            " ELSE int((l_orderkey * 37 + l_linenumber * 101) % 1440) END AS start",
+            "CASE WHEN l_partkey % 211 = 0 THEN 1500"
+            " ELSE int((l_partkey * 13 + l_linenumber) % 240 - 5) END AS minutes",
+        )
+        .selectExpr(
+            "int(l_suppkey % 2 + 1) AS VendorID",
+            "l_shipdate + start * INTERVAL '1' MINUTE AS tpep_pickup_datetime",
+            "l_shipdate + (start + minutes) * INTERVAL '1' MINUTE AS tpep_dropoff_datetime",
+            "bigint(l_quantity) % 7 AS passenger_count",
+            "CASE WHEN l_linenumber = 7 THEN 0D ELSE l_quantity * 0.25D END AS trip_distance",
+            "l_partkey % 7 + 1 AS RatecodeID",
+            "int(l_partkey % 265 + 1) AS PULocationID",
+            "int(l_orderkey % 265 + 1) AS DOLocationID",
+            "fare / 100D AS fare_amount",
+            "tip / 10000D AS tip_amount",
+            "CASE WHEN l_suppkey = 17 THEN -1D WHEN l_suppkey % 31 = 0 THEN (fare - 1000) / 100D"
+            " ELSE (fare * 100 + tip) / 10000D END AS total_amount",
+            "CASE WHEN l_linestatus = 'O' THEN 2.5D ELSE 0D END AS congestion_surcharge",
+            "1D AS improvement_surcharge",
+            "CASE l_returnflag WHEN 'R' THEN 1.25D WHEN 'A' THEN 0D END AS airport_fee",
         )
-        .select(*[column.alias(name) for name, column in columns.items()])
     )
 
 
@@ -72,8 +66,7 @@ def trips_picked_up(lineitem: DataFrame, first: dt.date, after: dt.date) -> Data
     A pickup lies on its ship day, so the range is also asked of ``l_shipdate``: that one reaches
     the Parquet scan, which a range on the computed pickup time cannot.
     """
-    in_range = lineitem.filter(
-        (F.col("l_shipdate") >= F.lit(first)) & (F.col("l_shipdate") < F.lit(after))
-    )
-    pickup = F.col(fv.PICKUP)
-    return trip_view(in_range).filter((pickup >= F.lit(first)) & (pickup < F.lit(after)))
+    def in_range(ts: str) -> str:
+        return f"{ts} >= DATE '{first}' AND {ts} < DATE '{after}'"
+
+    return trip_view(lineitem.filter(in_range("l_shipdate"))).filter(in_range(fv.PICKUP))
