@@ -40,8 +40,8 @@ class RunOptions:
     audit_script: str = "run_medallion"
     # Fixed at the start of a run, so that a repeated task or run stamps the same value.
     ingested_at: dt.datetime | None = None
-    # Files of the clustered silver layer; None leaves the number to adaptive execution.
-    silver_files: int | None = None
+    # Size of a silver shuffle partition and file: about 500 MB in memory, 100 MB as Parquet.
+    silver_rows_per_file: int = 2_000_000
 
     def __post_init__(self):
         if self.dedup not in (None, "business"):

@@ -19,7 +19,8 @@ def file_name(month: int, year: int = VIEW_FIRST_DAY.year) -> str:
 
 
 def month_file(month: Column, year: int = VIEW_FIRST_DAY.year) -> Column:
-    return F.format_string(f"yellow_tripdata_{year}-%02d.parquet", month)
+    digits = F.lpad(month.cast("string"), 2, "0")
+    return F.concat(F.lit(f"yellow_tripdata_{year}-"), digits, F.lit(".parquet"))
 
 
 def published_month() -> Column:

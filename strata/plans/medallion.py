@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from strata.operators.quality import quality_ladder, trip_gates
 from strata.operators.rollup import gold_by_from_cells, gold_focus_from_cells, trip_cells
 from strata.plans.reports import hourly_density, monthly_revenue
 from strata.plans.silver import silver_rows
+from strata.session import partitions_for
 from strata.sinks.tables import audit_stamp, cluster_rows, write_table
 from strata.sources.landing import field_rows, read_footers, read_landing, unreadable_files
 from strata.sources.tables import is_folder, read_table
@@ -49,19 +51,27 @@ def run_medallion(
     frames = [harmonize(rows) for rows in read_landing(spark, landing, footers)]
     bronze = layers["bronze"] = stored("bronze", stamped(stack(frames)))
 
-    # Lineage is kept: silver rows still name the file they came from.
-    silver = stamped(silver_rows(bronze, options))
-    layers["silver"] = stored("silver", cluster_rows(silver, [fv.PICKUP], options.silver_files))
-
     ladder = stored("quality_ladder", quality_ladder(bronze, trip_gates(options.gates)))
+
+    # The ladder tells how many rows reach the shuffles of the silver layer. Lineage is kept: silver
+    # rows still name the file they came from.
+    passed = ladder.agg(F.min("rows_remaining")).first()[0]
+    files = max(1, math.ceil(passed / options.silver_rows_per_file))
+    with partitions_for(spark, passed, options.silver_rows_per_file):
+        silver = cluster_rows(stamped(silver_rows(bronze, options)), [fv.PICKUP], files)
+        layers["silver"] = stored("silver", silver)
     layers["quality_ladder"] = with_dedup_step(ladder, layers["silver"])
 
     cells = layers["trip_cells"] = stored("trip_cells", trip_cells(layers["silver"]))
-    gold = {f"gold_{name}": gold_by_from_cells(cells, grain) for name, grain in
-            (("monthly", "month"), ("daily", "day"), ("hourly", "hour"))}
-    gold["gold_focus"] = gold_focus_from_cells(cells, options.focus_month)
-    for name, rows in gold.items():
-        layers[name] = stored(name, stamped(rows, name))
+    gold = {
+        "gold_monthly": (gold_by_from_cells(cells, "month"), [fv.TIME_SLICE]),
+        "gold_daily": (gold_by_from_cells(cells, "day"), [fv.TIME_SLICE]),
+        "gold_hourly": (gold_by_from_cells(cells, "hour"), [fv.TIME_SLICE]),
+        "gold_focus": (gold_focus_from_cells(cells, options.focus_month), [fv.DAY_SLICE, fv.HOUR_SLICE]),
+    }
+    for name, (rows, order) in gold.items():
+        # At most 744 rows: one sorted file.
+        layers[name] = stored(name, stamped(rows, name).coalesce(1).sortWithinPartitions(*order))
 
     layers["report_monthly_revenue"] = monthly_revenue(layers["gold_monthly"])
     layers["report_hourly_density"] = hourly_density(layers["gold_focus"], options.hour_mean)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution sizes shuffles from the data, so no partition count is tuned per query.
+# A scan with eleven gates and a wide duplicate removal compiles to one method above the size the
+# JVM translates to machine code by default; without this flag it would be interpreted.
+_JIT = "-XX:-DontCompileHugeMethods"
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -15,6 +21,7 @@ SETTINGS = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.executor.extraJavaOptions": _JIT,
 }
 
 
@@ -25,6 +32,7 @@ def local_session(cores: int | str = "*", app: str = "strata", **extra: str) ->
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
+        "spark.driver.extraJavaOptions": _JIT,
         "spark.sql.shuffle.partitions": "8",
     }
     for key, value in (settings | extra).items():
@@ -44,3 +52,19 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         shared = tempfile.mkdtemp(prefix="strata-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/strata/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> Iterator[None]:
+    """Raise the number of shuffle partitions to what ``rows`` need, for the work inside.
+
+    Adaptive execution merges small partitions but does not split those of an aggregate, so the
+    number has to be large enough from the start for a partition to fit in a task's memory.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), math.ceil(rows / rows_per_partition))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

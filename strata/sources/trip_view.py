@@ -60,13 +60,15 @@ def trip_view(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def trips_picked_up(lineitem: DataFrame, first: dt.date, after: dt.date) -> DataFrame:
-    """The trips with ``first <= pickup < after``.
+def shipped_for_pickups(lineitem: DataFrame, first: dt.date, after: dt.date) -> DataFrame:
+    """The rows whose trips have ``first <= pickup < after``.
 
-    A pickup lies on its ship day, so the range is also asked of ``l_shipdate``: that one reaches
-    the Parquet scan, which a range on the computed pickup time cannot.
+    A pickup lies on its ship day, so the range of days holds for ``l_shipdate`` too: that one
+    reaches the Parquet scan, which a range on the computed pickup time cannot.
     """
-    def in_range(ts: str) -> str:
-        return f"{ts} >= DATE '{first}' AND {ts} < DATE '{after}'"
+    return lineitem.filter(f"l_shipdate >= DATE '{first}' AND l_shipdate < DATE '{after}'")
+
 
-    return trip_view(lineitem.filter(in_range("l_shipdate"))).filter(in_range(fv.PICKUP))
+def trips_picked_up(lineitem: DataFrame, first: dt.date, after: dt.date) -> DataFrame:
+    """The trips with ``first <= pickup < after``."""
+    return trip_view(shipped_for_pickups(lineitem, first, after))
