@@ -59,6 +59,9 @@ DAY_SLICE = "DAY_SLICE"
 HOUR_SLICE = "HOUR_SLICE"
 GRAINS = ["month", "day", "hour"]
 
+# The stored silver layer has the pickup day as a date beside the pickup time (see sinks.tables).
+PICKUP_DATE = "PICKUP_DATE"
+
 # The columns that get total, average, maximum and minimum, in output order.
 MONEY_AND_DISTANCE = [
     "total_amount",

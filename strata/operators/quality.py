@@ -25,8 +25,8 @@ class Gate:
 def trip_gates(options: GateOptions = GateOptions()) -> list[Gate]:
     """The eleven gates of the silver layer, in the order they are applied.
 
-    Bounds are typed literals, so every gate that compares one column with constants reaches the
-    Parquet scan when the gates are applied to a stored table.
+    Bounds are typed literals and columns are left bare, so on a stored table every gate that compares
+    one column with constants is pushed to the Parquet scan.
     """
     pickup, dropoff = fv.PICKUP, fv.DROPOFF
 

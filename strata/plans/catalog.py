@@ -325,16 +325,29 @@ def ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cluster_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return _clustered(spark, folder)
+
+
+def cluster_range_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The window's trips from a clustered layer, of which other days are not read."""
+    day_after = VIEW_LAST_DAY + dt.timedelta(days=1)
+    return sinks.picked_up_between(_clustered(spark, folder), VIEW_FIRST_DAY, day_after)
+
+
+def _clustered(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "clustered")
-    sinks.write_table(sinks.cluster_rows(trips(spark, folder), [fv.PICKUP], files=16), target)
+    rows = sinks.with_pickup_date(trips(spark, folder))
+    sinks.write_table(sinks.cluster_rows(rows, [fv.PICKUP], files=16), target)
     return sources.read_table(spark, target)
 
 
 def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips clustered on day and hour together; both are stored, so filters on either skip files."""
     target = scratch_folder(spark, "zorder")
     parts = three_parts(fv.PICKUP)
-    keys = [parts[fv.DAY_SLICE], parts[fv.HOUR_SLICE]]
-    sinks.write_table(sinks.zorder_rows(trips(spark, folder), keys, bits=5, files=16), target)
+    keys = (fv.DAY_SLICE, fv.HOUR_SLICE)
+    rows = trips(spark, folder).selectExpr("*", *[f"{parts[name]} AS {name}" for name in keys])
+    sinks.write_table(sinks.zorder_rows(rows, keys, bits=5, files=16), target)
     return sources.read_table(spark, target)
 
 
@@ -412,6 +425,7 @@ def queries() -> dict[str, Query]:
         "cast_losses": cast_losses,
         "ingest_roundtrip": ingest_roundtrip,
         "cluster_roundtrip": cluster_roundtrip,
+        "cluster_range_scan": cluster_range_scan,
         "zorder_roundtrip": zorder_roundtrip,
         "medallion_bronze": medallion_layer("bronze"),
         "medallion_silver": medallion_layer("silver"),

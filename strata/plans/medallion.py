@@ -16,7 +16,7 @@ from strata.operators.rollup import gold_by_from_cells, gold_focus_from_cells, t
 from strata.plans.reports import hourly_density, monthly_revenue
 from strata.plans.silver import silver_rows
 from strata.session import partitions_for
-from strata.sinks.tables import audit_stamp, cluster_rows, write_table
+from strata.sinks.tables import audit_stamp, cluster_rows, with_pickup_date, write_table
 from strata.sources.landing import field_rows, read_footers, read_landing, unreadable_files
 from strata.sources.tables import is_folder, read_table
 
@@ -24,7 +24,7 @@ from strata.sources.tables import is_folder, read_table
 def run_medallion(
     spark: SparkSession, landing: str, store: str, options: RunOptions = RunOptions()
 ) -> dict[str, DataFrame]:
-    """Write every layer below ``store`` (a folder path or a catalog database) and return them.
+    """Write every layer below ``store`` (a new folder or a catalog database) and return them.
 
     Each stage reads what the stage before stored, so a lost executor costs the tasks it ran and
     never an earlier layer. Bronze is scanned twice (the ladder reads only the gate columns; silver
@@ -58,8 +58,8 @@ def run_medallion(
     passed = ladder.agg(F.min("rows_remaining")).first()[0]
     files = max(1, math.ceil(passed / options.silver_rows_per_file))
     with partitions_for(spark, passed, options.silver_rows_per_file):
-        silver = cluster_rows(stamped(silver_rows(bronze, options)), [fv.PICKUP], files)
-        layers["silver"] = stored("silver", silver)
+        silver = with_pickup_date(stamped(silver_rows(bronze, options)))
+        layers["silver"] = stored("silver", cluster_rows(silver, [fv.PICKUP], files))
     layers["quality_ladder"] = with_dedup_step(ladder, layers["silver"])
 
     cells = layers["trip_cells"] = stored("trip_cells", trip_cells(layers["silver"]))

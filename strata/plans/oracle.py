@@ -353,14 +353,24 @@ def oracle_sql() -> dict[str, str]:
                    'spark_medallion' AS AUD_ING_SYSTEM, 'catalog' AS AUD_ING_SCRIPT,
                    'vendor_' || VendorID || '.parquet' AS FILE_NAME
             FROM trips""",
-        "cluster_roundtrip": f"WITH {TRIPS} SELECT * FROM trips",
-        "zorder_roundtrip": f"WITH {TRIPS} SELECT * FROM trips",
+        "cluster_roundtrip": f"WITH {TRIPS} SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE FROM trips",
+        "cluster_range_scan": f"""
+            WITH {TRIPS} SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE FROM trips
+            WHERE tpep_pickup_datetime >= TIMESTAMP '1997-01-01'
+              AND tpep_pickup_datetime < TIMESTAMP '1997-06-01'""",
+        "zorder_roundtrip": f"""
+            WITH {TRIPS}
+            SELECT *, CAST(day(tpep_pickup_datetime) AS INT) AS DAY_SLICE,
+                   CAST(hour(tpep_pickup_datetime) AS INT) AS HOUR_SLICE
+            FROM trips""",
         "medallion_bronze": f"""
             WITH {TRIPS}, {PUBLISHED}
             SELECT *, 'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT FROM published""",
         "medallion_silver": f"""
             WITH {RUN}
-            SELECT *, 'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT FROM silver""",
+            SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE,
+                   'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT
+            FROM silver""",
         "medallion_ladder": f"WITH {RUN} " + _ladder("published", """
             UNION ALL SELECT CAST(12 AS INT), 'duplicates', COUNT(*),
               COUNT(*) - (SELECT COUNT(*) FROM silver), 0, (SELECT COUNT(*) FROM silver)

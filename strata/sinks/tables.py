@@ -1,11 +1,13 @@
 """Writing layers: lineage stamp, replacement, widening append, clustered files.
 
-A failed write raises. Nothing is reported as done that is not.
+A failed write raises, and never costs what was stored before: data goes to a new folder first, and a
+catalog table is then pointed at it. So a table may also be replaced by rows computed from itself.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,16 +33,27 @@ def audit_stamp(
     return rows.withColumns(stamp)
 
 
-def write_table(rows: DataFrame, target: str, mode: str = "overwrite") -> None:
-    """Write a layer; overwriting replaces rows and schema."""
-    writer = rows.write.format("parquet").mode(mode)
-    writer.save(target) if is_folder(target) else writer.saveAsTable(target)
+def write_table(rows: DataFrame, target: str) -> None:
+    """Write a layer, replacing its rows and schema where ``target`` is a catalog table.
+
+    A folder is written once: overwriting it in place would delete the files first, which loses them
+    if the job fails or reads them. Files of replaced tables stay until they are cleared away.
+    """
+    if is_folder(target):
+        rows.write.mode("errorifexists").parquet(target)
+        return
+    spark = rows.sparkSession
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    folder = f"{warehouse}/{target}-{uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {target}")
+    spark.catalog.createTable(target, path=folder, source="parquet", schema=rows.schema)
 
 
 def ingest(
     frames: Mapping[str, DataFrame], target: str, system: str, script: str, at: dt.datetime
 ) -> DataFrame:
-    """Replace ``target`` with the stamped rows of all named frames, and return the stored rows.
+    """Write the stamped rows of all named frames as ``target``, and return the stored rows.
 
     The frames are widened to one schema first and written by one job, so a failure cannot leave
     some of them in the table.
@@ -99,9 +112,19 @@ def zorder_rows(
     return cluster_rows(rows, [morton_key(by, bits)], files, tie_break)
 
 
-def optimize_into(spark: SparkSession, source: str, target: str, by: Sequence[str], files: int | None = None) -> None:
-    """Rewrite a stored layer clustered by ``by``, as a new layer: the source stays readable
-    throughout, and a failure leaves it as it was."""
-    if source == target:
-        raise ValueError("a layer cannot be rewritten over itself; give a new target")
-    write_table(cluster_rows(read_table(spark, source), by, files), target)
+def with_pickup_date(trips: DataFrame) -> DataFrame:
+    """Add the pickup day as a date. Spark skips Parquet data by statistics of dates but not of
+    timestamps without time zone, so a range of days is asked of this column."""
+    return trips.withColumn(fv.PICKUP_DATE, F.to_date(fv.PICKUP))
+
+
+def picked_up_between(silver: DataFrame, first: dt.date, after: dt.date) -> DataFrame:
+    """Stored trips with ``first <= pickup < after``, skipping the files of other days."""
+    return silver.filter(f"{fv.PICKUP_DATE} >= DATE '{first}' AND {fv.PICKUP_DATE} < DATE '{after}'")
+
+
+def optimize_table(
+    spark: SparkSession, source: str, by: Sequence[str], files: int | None = None, target: str | None = None
+) -> None:
+    """Rewrite a stored layer clustered by ``by``: a catalog table in place, a folder into another."""
+    write_table(cluster_rows(read_table(spark, source), by, files), target or source)

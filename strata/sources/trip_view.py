@@ -63,8 +63,8 @@ def trip_view(lineitem: DataFrame) -> DataFrame:
 def shipped_for_pickups(lineitem: DataFrame, first: dt.date, after: dt.date) -> DataFrame:
     """The rows whose trips have ``first <= pickup < after``.
 
-    A pickup lies on its ship day, so the range of days holds for ``l_shipdate`` too: that one
-    reaches the Parquet scan, which a range on the computed pickup time cannot.
+    A pickup lies on its ship day, so the range of days holds for ``l_shipdate`` too. That is a
+    stored column: rows outside the range are dropped before anything is computed for them.
     """
     return lineitem.filter(f"l_shipdate >= DATE '{first}' AND l_shipdate < DATE '{after}'")
 

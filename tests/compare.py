@@ -19,6 +19,7 @@ TYPES = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
+    "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
 
