@@ -7,9 +7,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from strata import fixed_values as fv
 
+# Numbers that fit a whole-number type when the fraction is cut off: above the first, below the second.
+_FITS = {"int": ("-2147483649D", "2147483648D"), "bigint": ("-9223372036854777856D", "9223372036854775808D")}
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
 
 def field_metadata(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
     """FILE_NAME, FIELD_NAME, VARIABLE_TYPE of DataFrames already at hand, in long form. For files
@@ -75,27 +80,41 @@ def harmonize(
     """
     canonical = {name.lower(): name for name in names}
     columns = []
-    for name in rows.columns:
-        target = canonical.get(name.lower(), name)
-        value = f"try_cast(`{name}` AS {types[target]})" if target in types else f"`{name}`"
-        columns.append(f"{value} AS `{target}`")
+    for field in rows.schema:
+        target = canonical.get(field.name.lower(), field.name)
+        columns.append(f"{_cast(field, types.get(target))} AS `{target}`")
     return rows.selectExpr(*columns)
 
 
+def _cast(field: StructField, want: str | None) -> str:
+    """The field as type ``want``, NULL where it does not fit.
+
+    Numbers are compared with the range first: ``try_cast`` raises and catches an exception for each
+    value that does not fit, and a drifted file may have NaN in a large part of its rows.
+    """
+    name, have = f"`{field.name}`", field.dataType.simpleString()
+    if want is None or have == want:
+        return name
+    if have in _NUMBERS and want in _FITS:
+        low, high = _FITS[want]
+        return f"CASE WHEN {name} > {low} AND {name} < {high} THEN cast({name} AS {want}) END"
+    return f"try_cast({name} AS {want})"
+
+
 def cast_losses(rows: DataFrame, types: Mapping[str, str] = fv.REPAIRED_TYPES) -> DataFrame:
     """What ``harmonize`` changes, per file and repaired field, for rows before it.
 
     Columns: FILE_NAME, FIELD_NAME, values_lost (became NULL), fractions_cut.
     """
-    present = {name.lower(): name for name in rows.columns}
+    present = {field.name.lower(): field for field in rows.schema}
     repaired = {target: present[target.lower()] for target in types if target.lower() in present}
     counts = []
-    for target, name in repaired.items():
-        cast = f"try_cast(`{name}` AS {types[target]})"
+    for target, field in repaired.items():
+        cast = _cast(field, types[target])
         counts.append(
             f"struct('{target}' AS {fv.FIELD_NAME},"
-            f" count_if(`{name}` IS NOT NULL AND {cast} IS NULL) AS values_lost,"
-            f" count_if({cast} != `{name}`) AS fractions_cut)"
+            f" count(`{field.name}`) - count({cast}) AS values_lost,"
+            f" count_if({cast} != `{field.name}`) AS fractions_cut)"
         )
     per_file = rows.groupBy(fv.FILE_NAME).agg(F.expr(f"array({', '.join(counts)})").alias("counts"))
     return per_file.selectExpr(fv.FILE_NAME, "inline(counts)")

@@ -334,10 +334,15 @@ def cluster_range_scan(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.picked_up_between(_clustered(spark, folder), VIEW_FIRST_DAY, day_after)
 
 
+def _trips_with_position(spark: SparkSession, folder: str) -> DataFrame:
+    lineitem = table(spark, folder, "lineitem").withColumn("position", sinks.row_position())
+    return trip_view(lineitem, keep=["position"])
+
+
 def _clustered(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "clustered")
-    rows = sinks.with_pickup_date(trips(spark, folder))
-    sinks.write_table(sinks.cluster_rows(rows, [fv.PICKUP], files=16), target)
+    rows = sinks.with_pickup_date(_trips_with_position(spark, folder))
+    sinks.write_table(sinks.cluster_rows(rows, [fv.PICKUP], 16, "position"), target)
     return sources.read_table(spark, target)
 
 
@@ -346,8 +351,8 @@ def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "zorder")
     parts = three_parts(fv.PICKUP)
     keys = (fv.DAY_SLICE, fv.HOUR_SLICE)
-    rows = trips(spark, folder).selectExpr("*", *[f"{parts[name]} AS {name}" for name in keys])
-    sinks.write_table(sinks.zorder_rows(rows, keys, bits=5, files=16), target)
+    rows = _trips_with_position(spark, folder).selectExpr("*", *[f"{parts[name]} AS {name}" for name in keys])
+    sinks.write_table(sinks.zorder_rows(rows, keys, 5, 16, "position"), target)
     return sources.read_table(spark, target)
 
 

@@ -18,9 +18,9 @@ def file_name(month: int, year: int = VIEW_FIRST_DAY.year) -> str:
     return f"yellow_tripdata_{year}-{month:02d}.parquet"
 
 
-def month_file(month: Column, year: int = VIEW_FIRST_DAY.year) -> Column:
-    digits = F.lpad(month.cast("string"), 2, "0")
-    return F.concat(F.lit(f"yellow_tripdata_{year}-"), digits, F.lit(".parquet"))
+def month_file(month: Column) -> Column:
+    """The file name of a month, from 1 to 12."""
+    return F.element_at(F.array(*[F.lit(file_name(number)) for number in range(1, 13)]), month)
 
 
 def published_month() -> Column:

@@ -82,31 +82,31 @@ def append_widening(rows: DataFrame, table: str) -> None:
     rows.select(*columns).write.mode("append").insertInto(table)
 
 
+def row_position() -> Column:
+    """A number for the place of a row in its file, for rows straight from a scan. It tells equal rows
+    apart, and a repeated task computes it again, which no random number promises."""
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+
+
 def cluster_rows(
-    rows: DataFrame,
-    by: Sequence[str | Column],
-    files: int | None = None,
-    tie_break: Sequence[str | Column] | None = None,
+    rows: DataFrame, by: Sequence[str | Column], files: int | None = None, tie_break: str | None = None
 ) -> DataFrame:
     """Lay rows out so that each written file covers a narrow range of ``by``.
 
-    Row hashes break ties: rows that share one value of ``by`` spread over several files, so no
-    value is too large for a task. They spread only if they differ, so pass ``tie_break`` (a row id)
-    for a table that may hold many equal rows. Without ``files`` adaptive execution sets the number.
+    Ties are broken, so rows that share one value of ``by`` spread over several files and no value is
+    too large for a task: by a hash of the row, or, for a table that may hold many equal rows, by the
+    column ``tie_break`` (see ``row_position``), which is not written. Without ``files`` adaptive
+    execution sets the number.
     """
     order = [F.col(column) if isinstance(column, str) else column for column in by]
-    spread = list(tie_break) if tie_break is not None else [F.xxhash64(*rows.columns)]
-    keys = [*order, *spread]
+    keys = [*order, F.col(tie_break) if tie_break else F.xxhash64(*rows.columns)]
     ranged = rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*order)
+    laid_out = ranged.sortWithinPartitions(*order)
+    return laid_out.drop(tie_break) if tie_break else laid_out
 
 
 def zorder_rows(
-    rows: DataFrame,
-    by: Sequence[str],
-    bits: int,
-    files: int | None = None,
-    tie_break: Sequence[str | Column] | None = None,
+    rows: DataFrame, by: Sequence[str], bits: int, files: int | None = None, tie_break: str | None = None
 ) -> DataFrame:
     """Cluster on several small integer expressions at once, so a filter on any of them skips files."""
     return cluster_rows(rows, [morton_key(by, bits)], files, tie_break)
@@ -127,4 +127,5 @@ def optimize_table(
     spark: SparkSession, source: str, by: Sequence[str], files: int | None = None, target: str | None = None
 ) -> None:
     """Rewrite a stored layer clustered by ``by``: a catalog table in place, a folder into another."""
-    write_table(cluster_rows(read_table(spark, source), by, files), target or source)
+    rows = read_table(spark, source).withColumn("_position", row_position())
+    write_table(cluster_rows(rows, by, files, "_position"), target or source)

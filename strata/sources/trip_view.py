@@ -7,6 +7,7 @@ projection: no shuffle, and only the ``lineitem`` columns a query needs are read
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +22,8 @@ def read_given_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def trip_view(lineitem: DataFrame) -> DataFrame:
-    """The 14 trip columns computed from ``lineitem``.
+def trip_view(lineitem: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 14 trip columns computed from ``lineitem``, and the columns to ``keep``.
 
     Prices and discounts have two decimals and keys are not negative. Money is computed in whole
     cents (``cents``, ``fare``) and hundredths of cents (``tip``) and divided once at the end, which
@@ -56,6 +57,7 @@ def trip_view(lineitem: DataFrame) -> DataFrame:
             "CASE WHEN l_linestatus = 'O' THEN 2.5D ELSE 0D END AS congestion_surcharge",
             "1D AS improvement_surcharge",
             "CASE l_returnflag WHEN 'R' THEN 1.25D WHEN 'A' THEN 0D END AS airport_fee",
+            *keep,
         )
     )
 

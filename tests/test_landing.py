@@ -154,3 +154,19 @@ def test_metadata_of_frames_at_hand(spark):
     fields = harmonize.field_metadata(spark, frames)
     assert sorted(map(tuple, fields.collect())) == [("a", "id", "LongType()"), ("b", "id", "StringType()")]
     assert harmonize.schema_matrix(fields, ["id"]).count() == 2
+
+
+def test_values_at_the_edges_of_the_types(spark):
+    values = [2147483647.9, 2147483648.0, -2147483648.9, -2147483649.0, math.nan, math.inf, -math.inf, None, 1.5]
+    rows = spark.createDataFrame([(value,) for value in values], "x double")
+    cast = [row.x for row in harmonize.harmonize(rows, {"x": "int"}, ["x"]).collect()]
+    assert cast == [2147483647, None, -2147483648, None, None, None, None, None, 1]
+    values = [9223372036854774784.0, 9223372036854775808.0, -9223372036854775808.0, -9223372036854777856.0]
+    rows = spark.createDataFrame([(value,) for value in values], "x double")
+    cast = [row.x for row in harmonize.harmonize(rows, {"x": "bigint"}, ["x"]).collect()]
+    assert cast == [9223372036854774784, None, -(2**63), None]
+    rows = spark.createDataFrame([(2**31 - 1,), (2**31,), (-(2**31),), (-(2**31) - 1,)], "x bigint")
+    cast = [row.x for row in harmonize.harmonize(rows, {"x": "int"}, ["x"]).collect()]
+    assert cast == [2**31 - 1, None, -(2**31), None]
+    rows = spark.createDataFrame([("7",), ("seven",)], "x string")
+    assert [row.x for row in harmonize.harmonize(rows, {"x": "int"}, ["x"]).collect()] == [7, None]

@@ -112,12 +112,13 @@ def test_a_hot_value_spreads_over_files(spark):
     assert sum(1 for low, high in ranges(target, "k") if low <= 5 <= high) >= 4
 
 
-def test_equal_rows_spread_by_a_given_row_id(spark):
-    rows = spark.range(12_000, numPartitions=6).selectExpr("1 AS k", "id")
-    target = scratch_folder(spark, "equal")
-    sinks.write_table(sinks.cluster_rows(rows, ["k"], files=6, tie_break=["id"]), target)
+def test_equal_rows_spread_by_their_position(spark):
+    source, target = scratch_folder(spark, "equal"), scratch_folder(spark, "spread")
+    sinks.write_table(spark.range(12_000, numPartitions=2).selectExpr("1 AS k", "2 AS v"), source)
+    sinks.optimize_table(spark, source, ["k"], files=6, target=target)
     sizes = [pq.ParquetFile(path).metadata.num_rows for path in Path(target).glob("*.parquet")]
-    assert len(sizes) == 6 and max(sizes) < 4_000
+    assert len(sizes) == 6 and sum(sizes) == 12_000 and max(sizes) < 4_000
+    assert read_table(spark, target).columns == ["k", "v"]
 
 
 def test_morton_key_interleaves_bits(spark):
