@@ -85,7 +85,11 @@ def with_travel_time(trips: DataFrame) -> DataFrame:
 
 
 def _named(expressions: Mapping[str, str]) -> list[Column]:
-    return [F.expr(text).alias(name) for name, text in expressions.items()]
+    return [F.expr(text) for text in _texts(expressions)]
+
+
+def _texts(expressions: Mapping[str, str]) -> list[str]:
+    return [f"{text} AS `{name}`" for name, text in expressions.items()]
 
 
 def part_aggregate(rows: DataFrame, keys: Mapping[str, str], measures: Sequence[Measure]) -> DataFrame:
@@ -111,7 +115,7 @@ def finish(
     metrics = {count_name: ROWS}
     for measure in measures:
         metrics |= measure.metrics()
-    return parts.select(*keys, *_named(metrics))
+    return parts.selectExpr(*keys, *_texts(metrics))
 
 
 def summarise(

@@ -274,8 +274,9 @@ def table_preview(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_footers(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "footers")
-    sinks.write_table(landing.read_footers(spark, folder), target)
-    return sources.read_table(spark, target)
+    footers = landing.read_footers(spark, folder)
+    sinks.write_table(footers, target)
+    return sources.read_table(spark, target, footers.schema)
 
 
 def schema_fields(spark: SparkSession, folder: str) -> DataFrame:
@@ -342,8 +343,9 @@ def _trips_with_position(spark: SparkSession, folder: str) -> DataFrame:
 def _clustered(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "clustered")
     rows = sinks.with_pickup_date(_trips_with_position(spark, folder))
-    sinks.write_table(sinks.cluster_rows(rows, [fv.PICKUP], 16, "position"), target)
-    return sources.read_table(spark, target)
+    clustered = sinks.cluster_rows(rows, [fv.PICKUP], 16, "position")
+    sinks.write_table(clustered, target)
+    return sources.read_table(spark, target, clustered.schema)
 
 
 def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -352,8 +354,9 @@ def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     parts = three_parts(fv.PICKUP)
     keys = (fv.DAY_SLICE, fv.HOUR_SLICE)
     rows = _trips_with_position(spark, folder).selectExpr("*", *[f"{parts[name]} AS {name}" for name in keys])
-    sinks.write_table(sinks.zorder_rows(rows, keys, 5, 16, "position"), target)
-    return sources.read_table(spark, target)
+    clustered = sinks.zorder_rows(rows, keys, 5, 16, "position")
+    sinks.write_table(clustered, target)
+    return sources.read_table(spark, target, clustered.schema)
 
 
 # The whole run. Inputs and layers are written once per application and given folder.

@@ -35,7 +35,7 @@ def run_medallion(
     def stored(name: str, rows: DataFrame) -> DataFrame:
         target = f"{store.rstrip('/')}/{name}" if is_folder(store) else f"{store}.{name}"
         write_table(rows, target)
-        return read_table(spark, target)
+        return read_table(spark, target, rows.schema)
 
     def stamped(rows: DataFrame, file_name: str | None = None) -> DataFrame:
         return audit_stamp(rows, options.audit_system, options.audit_script, at, file_name)

@@ -61,7 +61,7 @@ def ingest(
     stamped = [audit_stamp(rows, system, script, at, name) for name, rows in frames.items()]
     written = stack(stamped)
     write_table(written, target)
-    return read_table(written.sparkSession, target)
+    return read_table(written.sparkSession, target, written.schema)
 
 
 def append_widening(rows: DataFrame, table: str) -> None:

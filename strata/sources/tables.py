@@ -8,6 +8,7 @@ from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def is_folder(target: str) -> bool:
@@ -15,9 +16,12 @@ def is_folder(target: str) -> bool:
     return "/" in target
 
 
-def read_table(spark: SparkSession, target: str) -> DataFrame:
-    """A stored layer. An absent one raises an error that names it."""
-    return spark.read.parquet(target) if is_folder(target) else spark.table(target)
+def read_table(spark: SparkSession, target: str, schema: StructType | None = None) -> DataFrame:
+    """A stored layer. An absent one raises an error that names it. A known ``schema`` of a folder
+    saves the job that looks it up."""
+    if not is_folder(target):
+        return spark.table(target)
+    return (spark.read.schema(schema) if schema else spark.read).parquet(target)
 
 
 def preview(rows: DataFrame, n: int = 10) -> DataFrame:
