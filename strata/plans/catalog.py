@@ -315,16 +315,33 @@ def cast_losses(spark: SparkSession, folder: str) -> DataFrame:
 # Written layers
 
 
-def ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Two files, one without the airport fee, written as one stamped layer and read back."""
+def _two_files(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The trips as two files, of which the first has no airport fee."""
     rows = trips(spark, folder)
-    frames = {
+    return {
         "vendor_1.parquet": rows.filter(F.col("VendorID") == 1).drop("airport_fee"),
         "vendor_2.parquet": rows.filter(F.col("VendorID") == 2),
     }
+
+
+def ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files of different schemas written as one stamped layer and read back."""
+    frames = _two_files(spark, folder)
     return sinks.ingest(frames, scratch_folder(spark, "ingest"), *_STAMP).drop(fv.AUDIT_TIME)
 
 
+def append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of the first file, to which the second is appended with its additional column."""
+    name = "strata_append_roundtrip"
+    first, second = [
+        sinks.audit_stamp(rows, *_STAMP, file).drop(fv.AUDIT_TIME)
+        for file, rows in _two_files(spark, folder).items()
+    ]
+    sinks.write_table(first, name, scratch_folder(spark, "append"))
+    sinks.append_widening(second, name)
+    return spark.table(name)
+
+
 def cluster_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return _clustered(spark, folder)
 
@@ -432,6 +449,7 @@ def queries() -> dict[str, Query]:
         "harmonized_union": harmonized_union,
         "cast_losses": cast_losses,
         "ingest_roundtrip": ingest_roundtrip,
+        "append_roundtrip": append_roundtrip,
         "cluster_roundtrip": cluster_roundtrip,
         "cluster_range_scan": cluster_range_scan,
         "zorder_roundtrip": zorder_roundtrip,

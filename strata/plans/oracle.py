@@ -131,6 +131,13 @@ stacked AS (
   UNION ALL SELECT *, 'b.parquet' FROM trips WHERE RatecodeID = 3)
 """
 
+TWO_FILES = """
+SELECT * REPLACE (CASE WHEN VendorID = 2 THEN airport_fee END AS airport_fee),
+       'spark_medallion' AS AUD_ING_SYSTEM, 'catalog' AS AUD_ING_SCRIPT,
+       'vendor_' || VendorID || '.parquet' AS FILE_NAME
+FROM trips
+"""
+
 # Trips as the six monthly files publish them: some a month late, none outside January to June 1997,
 # and no airport fee in the second file.
 PUBLISHED = """
@@ -347,12 +354,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT FILE_NAME, 'PULocationID', 0, 0 FROM named GROUP BY 1
             UNION ALL SELECT FILE_NAME, 'RatecodeID', 0, COUNT(*) FILTER (WHERE RatecodeID = 3)
                    FROM named GROUP BY 1""",
-        "ingest_roundtrip": f"""
-            WITH {TRIPS}
-            SELECT * REPLACE (CASE WHEN VendorID = 2 THEN airport_fee END AS airport_fee),
-                   'spark_medallion' AS AUD_ING_SYSTEM, 'catalog' AS AUD_ING_SCRIPT,
-                   'vendor_' || VendorID || '.parquet' AS FILE_NAME
-            FROM trips""",
+        "ingest_roundtrip": f"WITH {TRIPS} {TWO_FILES}",
+        "append_roundtrip": f"WITH {TRIPS} {TWO_FILES}",
         "cluster_roundtrip": f"WITH {TRIPS} SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE FROM trips",
         "cluster_range_scan": f"""
             WITH {TRIPS} SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE FROM trips

@@ -33,18 +33,19 @@ def audit_stamp(
     return rows.withColumns(stamp)
 
 
-def write_table(rows: DataFrame, target: str) -> None:
+def write_table(rows: DataFrame, target: str, folder: str | None = None) -> None:
     """Write a layer, replacing its rows and schema where ``target`` is a catalog table.
 
     A folder is written once: overwriting it in place would delete the files first, which loses them
-    if the job fails or reads them. Files of replaced tables stay until they are cleared away.
+    if the job fails or reads them. The files of a table go to ``folder``, or to a new folder of the
+    warehouse; those of the table it replaces stay until they are cleared away.
     """
     if is_folder(target):
         rows.write.mode("errorifexists").parquet(target)
         return
     spark = rows.sparkSession
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    folder = f"{warehouse}/{target}-{uuid.uuid4().hex}"
+    folder = folder or f"{warehouse}/{target}-{uuid.uuid4().hex}"
     rows.write.mode("errorifexists").parquet(folder)
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.catalog.createTable(target, path=folder, source="parquet", schema=rows.schema)

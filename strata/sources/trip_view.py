@@ -11,8 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata import fixed_values as fv
-
 # The pickup window that plays the part of January to May on these tables.
 VIEW_FIRST_DAY = dt.date(1997, 1, 1)
 VIEW_LAST_DAY = dt.date(1997, 5, 31)

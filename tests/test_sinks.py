@@ -5,7 +5,6 @@ import pyarrow.parquet as pq
 import pytest
 from pathlib import Path
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
 from strata.functions.calendar import three_parts
