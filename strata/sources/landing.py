@@ -9,7 +9,7 @@ schema, so the plan grows with the number of schemas and not with the number of
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,7 +37,7 @@ def read_footers(spark: SparkSession, folder: str) -> DataFrame:
         .select(F.col("_metadata.file_path").alias("path"))
     )
     tasks = max(1, 4 * spark.sparkContext.defaultParallelism)
-    footers = paths.coalesce(tasks).mapInPandas(_footers_of, _FOOTERS)
+    footers = paths.coalesce(tasks).mapInPandas(_footer_reader(), _FOOTERS)
     return footers.select(_entry_name(F.col("path"), folder).alias(fv.FILE_NAME), "*")
 
 
@@ -96,41 +96,44 @@ def _entry_name(path: Column, folder: str) -> Column:
     return F.substring_index(F.substring_index(path, base, -1), "/", 1)
 
 
-def _footers_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame(
-            [_footer_of(path) for path in batch["path"]], columns=["path", "fields", "schema_ddl", "error"]
-        )
-
-
-def _footer_of(path: str) -> tuple:
-    import pyarrow as pa
-    from pyarrow import fs
-    from pyarrow import parquet as pq
-
-    uri = re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]:", "s3:", path))
-    filesystem, key = fs.FileSystem.from_uri(uri)
-    try:
-        file = pq.ParquetFile(key, filesystem=filesystem)
-    except (pa.ArrowInvalid, OSError) as problem:
-        # An input-output failure is not a verdict on the file: let Spark try the task again.
-        if isinstance(problem, pa.ArrowInvalid) or "thrift" in str(problem):
-            return path, [], None, str(problem)
-        raise
-    with file:
-        columns = {file.schema.column(i).path: file.schema.column(i) for i in range(len(file.schema))}
-        fields = [_spark_field(field, columns.get(field.name)) for field in file.schema_arrow]
-    ddl = ", ".join(f"`{name}` {ddl}" for name, _, ddl in fields)
-    return path, fields, ddl, None
-
-
-def _spark_field(field, column) -> tuple[str, str, str]:
-    """Name, type and DDL type that Spark gives a Parquet field."""
-    from pyspark.sql.pandas.types import from_arrow_type
-    from pyspark.sql.types import TimestampType
-
-    if column is not None and column.physical_type == "INT96":
-        spark_type = TimestampType()
-    else:
-        spark_type = from_arrow_type(field.type, prefer_timestamp_ntz=True)
-    return field.name, str(spark_type), spark_type.simpleString()
+def _footer_reader() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The function tasks run. Its helpers are inner functions, so all of it travels with the task and
+    executors need no copy of this package."""
+
+    def spark_field(field, column) -> tuple[str, str, str]:
+        """Name, type and DDL type that Spark gives a Parquet field."""
+        from pyspark.sql.pandas.types import from_arrow_type
+        from pyspark.sql.types import TimestampType
+
+        if column is not None and column.physical_type == "INT96":
+            spark_type = TimestampType()
+        else:
+            spark_type = from_arrow_type(field.type, prefer_timestamp_ntz=True)
+        return field.name, str(spark_type), spark_type.simpleString()
+
+    def footer(path: str) -> tuple:
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyarrow import parquet as pq
+
+        uri = re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]:", "s3:", path))
+        filesystem, key = fs.FileSystem.from_uri(uri)
+        try:
+            file = pq.ParquetFile(key, filesystem=filesystem)
+        except (pa.ArrowInvalid, OSError) as problem:
+            # An input-output failure is not a verdict on the file: let Spark try the task again.
+            if isinstance(problem, pa.ArrowInvalid) or "thrift" in str(problem):
+                return path, [], None, str(problem)
+            raise
+        with file:
+            columns = {file.schema.column(i).path: file.schema.column(i) for i in range(len(file.schema))}
+            fields = [spark_field(field, columns.get(field.name)) for field in file.schema_arrow]
+        ddl = ", ".join(f"`{name}` {ddl}" for name, _, ddl in fields)
+        return path, fields, ddl, None
+
+    def footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["path", "fields", "schema_ddl", "error"]
+        for batch in batches:
+            yield pd.DataFrame([footer(path) for path in batch["path"]], columns=columns)
+
+    return footers

@@ -1,5 +1,8 @@
 import datetime as dt
 import math
+import os
+import subprocess
+import sys
 
 import pandas as pd
 import pyarrow as pa
@@ -170,3 +173,12 @@ def test_values_at_the_edges_of_the_types(spark):
     assert cast == [2**31 - 1, None, -(2**31), None]
     rows = spark.createDataFrame([("7",), ("seven",)], "x string")
     assert [row.x for row in harmonize.harmonize(rows, {"x": "int"}, ["x"]).collect()] == [7, None]
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    from pyspark import cloudpickle
+
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(landing._footer_reader()))
+    code = "import pickle, sys; pickle.load(open('task', 'rb')); assert 'strata' not in sys.modules"
+    environment = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, check=True)
