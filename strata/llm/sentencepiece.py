@@ -12,6 +12,8 @@ segmentation has only such steps, and it is the one the merges give. Whether two
 side follows from their last merges, walked backwards: at no time may the symbols at the border form a
 piece that ranks before the next merge on either side.
 
+Units of more than ``LONGEST_SEARCH`` characters, such as texts without blanks, are merged one by one.
+
 Characters without a piece become byte pieces, or the unknown piece if the model has none. Vocabularies are
 read, never trained. Supported are models that keep characters as they are (normaliser "identity").
 
@@ -21,6 +23,7 @@ back unless it holds U+2581, which stands for a blank.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,6 +39,7 @@ BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MOST_KEPT = 600_000  # units whose pieces a worker remembers
 LONG_UNIT = 64
+LONGEST_SEARCH = 512
 BATCH = 1 << 15
 _NEVER = np.int64(1) << 40
 _CODED = "doc_id bigint, n_pieces int, ids array<int>, round_trip boolean"
@@ -97,6 +101,8 @@ class PieceModel:
     left: np.ndarray = field(default=None)
     right: np.ndarray = field(default=None)
     pairs: SortedKeys = field(default=None)
+    joined: dict[tuple[int, int], int] = field(default=None)
+    single: dict[str, int] = field(default=None)
 
     @classmethod
     def parse(cls, model: bytes) -> PieceModel:
@@ -170,6 +176,7 @@ class PieceModel:
             made = ~np.isin(own.values, unmade)
             if not made.all():
                 self.keys[length] = SortedKeys(own.keys[made], own.values[made])
+        self.joined, self.single = pairs, {piece: own for piece, own in usable.items() if len(piece) == 1}
         joined = np.array([a * size + b for a, b in pairs], np.uint64)
         self.pairs = SortedKeys(mixed(joined), self.rank[np.array(list(pairs.values()), np.int64)])
 
@@ -198,7 +205,10 @@ class PieceModel:
         found: list = [None] * len(units)
         by_length: dict[int, list[int]] = {}
         for i, unit in enumerate(units):
-            by_length.setdefault(len(unit), []).append(i)
+            if self.is_bpe and len(unit) > LONGEST_SEARCH:
+                found[i] = self._merge(unit)
+            else:
+                by_length.setdefault(len(unit), []).append(i)
         for length, members in by_length.items():
             batch = max(1, min(BATCH, (BATCH * 16) // length))
             for first in range(0, len(members), batch):
@@ -207,6 +217,40 @@ class PieceModel:
                     found[i] = ids
         return found
 
+    def _merge(self, unit: str) -> bytes:
+        """The ids of one very long unit, by the merges themselves."""
+        parts = [self.single.get(char, -1) for char in unit]
+        after = [*range(1, len(parts)), -1]
+        before = [*range(-1, len(parts) - 1)]
+        waiting: list[tuple[int, int, int, int]] = []
+
+        def offer(i: int) -> None:
+            j = after[i] if i >= 0 else -1
+            if j >= 0 and (parts[i], parts[j]) in self.joined:
+                rank = int(self.rank[self.joined[parts[i], parts[j]]])
+                heapq.heappush(waiting, (rank, i, parts[i], parts[j]))
+
+        for i in range(len(parts)):
+            offer(i)
+        while waiting:
+            _, i, a, b = heapq.heappop(waiting)
+            j = after[i]
+            if parts[i] != a or j < 0 or parts[j] != b:
+                continue  # one of the two has been merged meanwhile
+            parts[i], parts[j] = self.joined[a, b], -2
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(before[i])
+            offer(i)
+        spelled: list[int] = []
+        for char, piece in zip(unit, parts):
+            if piece >= 0:
+                spelled.append(piece)
+            elif piece == -1:
+                spelled += self._unknown(char, spelled)
+        return np.array(spelled, np.int32).tobytes()
+
     def _search(self, units: list[str], length: int) -> list[bytes]:
         codes = _code_points(units, length)
         sums = _substring_sums(codes)
