@@ -11,7 +11,7 @@ The trie is never gathered in one place. Its leaves are grams, ORDER context sym
 coded, packed into one number, counted per block of documents and summed over all. All contexts of two and
 more symbols that end in the same two lie in one group, whose size the number of symbols bounds; the two
 shortest orders are one small table (at most 256 * 257 rows). Each group gives the probabilities of its
-grams, and the grams a block needs go back to it by a join; words and their counts take the same way.
+grams, and the grams a block needs go back to it by a join. Words, as 64-bit hashes, and their counts take the same way.
 Documents are dealt into blocks of about ``BLOCK_BYTES`` by hash. What is gathered, shuffled and looked up
 grows with the input.
 
@@ -21,7 +21,7 @@ of them counts in training. Without training documents every symbol is equally l
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,16 +29,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import LOWER, distinct, ship_package, staged, text_buffers, text_chunks
+from strata.llm.common import (
+    LOWER,
+    distinct,
+    ship_package,
+    span_hashes,
+    staged,
+    text_buffers,
+    text_chunks,
+    word_spans,
+)
 
 ORDER = 5
 SYMBOLS = 256
 END = 255  # no byte of UTF-8
 WIDTH = 8
 BLOCK_BYTES = 24 << 20
-_GRAMS = "block bigint, gram bigint, word binary, seen bigint"
-_LOOKUP = "gram bigint, logp double"
+_COUNTS = "block bigint, is_word boolean, key bigint, seen bigint"
+_LOOKUP = "key bigint, value double"
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+_SCORE_NAMES = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+_SCORE_TYPES = pa.schema(list(zip(_SCORE_NAMES, [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])))
 
 
 def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -65,15 +76,15 @@ def byte_rows(column: pa.Array) -> list[bytes]:
     return [whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
-class GramCounts:
-    """Sorted grams with counts. Added runs are merged once they are as long as what is there."""
+class KeyCounts:
+    """Sorted keys with counts. Added runs are merged once they are as long as what is there."""
 
     def __init__(self):
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, packed: np.ndarray, learned: bool) -> None:
-        """Count grams; those of held-out documents are there with 0."""
-        keys, counts = distinct(packed)
+    def add(self, found: np.ndarray, learned: bool) -> None:
+        """Count keys; those of held-out documents are there with 0."""
+        keys, counts = distinct(found)
         self.runs.append((keys, counts if learned else np.zeros(len(keys), np.int64)))
         if sum(len(keys) for keys, _ in self.runs[1:]) > len(self.runs[0][0]) + (1 << 20):
             self.runs = [self.merged()]
@@ -86,42 +97,39 @@ class GramCounts:
         return keys[begins], np.add.reduceat(counts, begins)
 
 
-def _gram_counter(order: int):
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of each word of the texts, and the text it is in."""
+    offsets = np.cumsum([0] + [len(text) for text in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts, ends, text = word_spans(data, offsets)
+    return span_hashes(data, starts, ends).view(np.int64), text
+
+
+def _counter(order: int):
     """Grams and words per block with their number in training documents, which may be 0."""
     lower = bytes(LOWER)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, GramCounts] = {}
-        words: dict[int, tuple[Counter, set]] = {}
+        sums: dict[tuple[int, bool], KeyCounts] = defaultdict(KeyCounts)
         for batch in batches:
             block_of = batch.column("block").to_numpy()
             learn_of = ~np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
             for first, last, _, _ in text_chunks(batch.column("text")):
                 texts = byte_rows(batch.column("text").slice(first, last - first))
                 for block in np.unique(block_of[first:last]).tolist():
-                    known, other = words.setdefault(block, (Counter(), set()))
-                    for learned, add in ((True, known.update), (False, other.update)):
+                    for learned in (True, False):
                         own = (block_of[first:last] == block) & (learn_of[first:last] == learned)
                         picked = [texts[i].translate(lower) for i in np.flatnonzero(own)]
                         if picked:
-                            sums.setdefault(block, GramCounts()).add(grams(picked, order)[0], learned)
-                        for text in picked:
-                            add(text.split())
-        for block in list(sums):
-            keys, counts = sums.pop(block).merged()
-            known, other = words.pop(block)
-            other.difference_update(known)
-            spelled = [*known, *other]
-            n, m = len(keys), len(spelled)
-            seen = np.concatenate([counts, np.fromiter(known.values(), np.int64), np.zeros(len(other), np.int64)])
+                            sums[block, False].add(grams(picked, order)[0], learned)
+                            sums[block, True].add(word_keys(picked)[0], learned)
+        for (block, is_word), counted in sums.items():
+            keys, counts = counted.merged()
             columns = [
-                pa.array(np.full(n + m, block)),
-                pa.array(np.concatenate([keys, np.zeros(m, np.int64)]), mask=np.arange(n + m) >= n),
-                pa.array([None] * n + spelled, pa.binary()),
-                pa.array(seen),
+                pa.array(np.full(len(keys), block)), pa.array(np.full(len(keys), is_word)), pa.array(keys), pa.array(counts),
             ]
-            whole = pa.RecordBatch.from_arrays(columns, ["block", "gram", "word", "seen"])
-            for start in range(0, n + m, 1 << 16):
+            whole = pa.RecordBatch.from_arrays(columns, ["block", "is_word", "key", "seen"])
+            for start in range(0, len(keys), 1 << 16):
                 yield whole.slice(start, 1 << 16)
 
     return work
@@ -203,12 +211,12 @@ def log_probabilities(packed: np.ndarray, seen: np.ndarray, short: list, order:
 
 def _scorer_of_grams(order: int, short: list):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(batch.column("gram").to_numpy(), batch.column("seen").to_numpy()) for batch in batches]
+        parts = [(batch.column("key").to_numpy(), batch.column("seen").to_numpy()) for batch in batches]
         if not parts:
             return
         packed, seen = (np.concatenate(column) for column in zip(*parts))
         scored = pa.RecordBatch.from_arrays(
-            [pa.array(packed), pa.array(log_probabilities(packed, seen, short, order))], ["gram", "logp"]
+            [pa.array(packed), pa.array(log_probabilities(packed, seen, short, order))], ["key", "value"]
         )
         for start in range(0, len(packed), 1 << 16):
             yield scored.slice(start, 1 << 16)
@@ -216,8 +224,8 @@ def _scorer_of_grams(order: int, short: list):
     return work
 
 
-class GramTable:
-    """Values by gram. Keys hash to slots of a table; those whose slot is taken go to a next table."""
+class KeyTable:
+    """Values by key. Keys hash to slots of a table; those whose slot is taken go to a next table."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values, self.tables = keys, values, []
@@ -255,30 +263,30 @@ class GramTable:
 
 
 def _scorer_of_blocks(order: int, train_tokens: int, kinds: int, ends: int):
-    """Scores of a block's documents, from the values of its grams and words."""
+    """Scores of a block's documents, from the values of its grams and the counts of its words."""
     lower = bytes(LOWER)
     whole = np.log10(train_tokens + kinds + 1)
 
     def work(docs: pa.Table, lookup: pa.Table) -> pa.Table:
-        is_gram = lookup.column("gram").is_valid()
-        own = lookup.filter(is_gram)
-        table = GramTable(own.column("gram").to_numpy(), own.column("value").to_numpy())
-        own = lookup.filter(lookup.column("word").is_valid())
-        words = dict(zip(own.column("word").to_pylist(), own.column("value").to_numpy().tolist()))
+        if not docs.num_rows:
+            return pa.table({name: [] for name in _SCORE_NAMES}).cast(_SCORE_TYPES)
+        is_word = lookup.column("is_word").to_numpy()
+        keys, values = lookup.column("key").to_numpy(), lookup.column("value").to_numpy()
+        of_gram, of_word = KeyTable(keys[~is_word], values[~is_word]), KeyTable(keys[is_word], values[is_word])
         texts = docs.column("text").combine_chunks()
         measures = []
         for first, last, _, _ in text_chunks(texts):
             chunk = [text.translate(lower) for text in byte_rows(texts.slice(first, last - first))]
             packed, lengths = grams(chunk, order)
-            scores = np.add.reduceat(table.get(packed), np.cumsum(lengths) - lengths)
-            for text, score in zip(chunk, scores.tolist()):
-                counts = np.array([*map(words.__getitem__, text.split()), ends], float)
-                measures.append(
-                    (len(counts), int((counts > 0).sum()), float(np.log10(counts + 1).sum() - len(counts) * whole), score)
-                )
-        columns = [pa.array(list(column)) for column in zip(*measures)]
-        fields = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-        return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), *columns], fields)
+            scores = np.add.reduceat(of_gram.get(packed), np.cumsum(lengths) - lengths)
+            words, text = word_keys(chunk)
+            counts = of_word.get(words) if len(words) else np.zeros(0)
+            tokens = np.bincount(text, minlength=len(chunk)) + 1
+            known = np.bincount(text, weights=counts > 0, minlength=len(chunk)) + (ends > 0)
+            base = np.bincount(text, weights=np.log10(counts + 1), minlength=len(chunk)) + np.log10(ends + 1)
+            measures.append((tokens, known.astype(np.int64), base - tokens * whole, scores))
+        columns = [pa.array(np.concatenate(column)) for column in zip(*measures)]
+        return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), *columns], _SCORE_NAMES)
 
     return work
 
@@ -302,29 +310,23 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
     texts = texts.withColumn("block", block)
 
     dealt = texts.repartition(int(min(blocks, 1 << 20)), "block")
-    counts = staged(dealt.mapInArrow(_gram_counter(order), _GRAMS), "grams")
+    counts = staged(dealt.mapInArrow(_counter(order), _COUNTS), "counts")
+    # Sums over all blocks: the trie's leaves, and the words.
+    sums = staged(counts.groupBy("is_word", "key").agg(F.sum("seen").alias("seen")), "sums")
+    trie, words = sums.filter("NOT is_word").select("key", "seen"), sums.filter("is_word").select("key", "seen")
 
-    trie = counts.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("seen").alias("seen"))
-    trie = staged(trie, "trie")
     short = [_short_order(trie, length) for length in (0, 1)]
-    ending = F.shiftright("gram", WIDTH).bitwiseAND(_low(2))
+    ending = F.shiftright("key", WIDTH).bitwiseAND(_low(2))
     probabilities = trie.repartition(ending).mapInArrow(_scorer_of_grams(order, short), _LOOKUP)
-
-    spelled = counts.filter("word IS NOT NULL")
-    lexicon = staged(spelled.groupBy("word").agg(F.sum("seen").alias("seen")), "words")
-    tokens, kinds = lexicon.filter("seen > 0").agg(F.coalesce(F.sum("seen"), F.lit(0)), F.count("*")).first()
+    tokens, kinds = words.filter("seen > 0").agg(F.coalesce(F.sum("seen"), F.lit(0)), F.count("*")).first()
     ends = int(dict(zip(*map(np.ndarray.tolist, short[0]))).get(END, 0))
     tokens, kinds = tokens + ends, kinds + (ends > 0)
 
-    of_grams = counts.filter("gram IS NOT NULL").select("block", "gram").join(probabilities, "gram")
-    of_words = spelled.select("block", "word").join(lexicon, "word")
-    lookup = of_grams.select(
-        "block", "gram", F.lit(None).cast("binary").alias("word"), F.col("logp").alias("value")
-    ).unionByName(
-        of_words.select(
-            "block", F.lit(None).cast("bigint").alias("gram"), "word", F.col("seen").cast("double").alias("value")
-        )
+    values = probabilities.select(F.lit(False).alias("is_word"), "key", "value").unionByName(
+        words.select(F.lit(True).alias("is_word"), "key", F.col("seen").cast("double").alias("value"))
     )
+    lookup = counts.select("block", "is_word", "key").join(values, ["key", "is_word"])
+    lookup = lookup.select("block", "is_word", "key", "value")
     scored = (
         texts.groupBy("block")
         .cogroup(lookup.groupBy("block"))
@@ -335,6 +337,6 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
 
 def _short_order(trie: DataFrame, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Leaves and counts of a short order: at most 256 ** (length + 1) rows."""
-    leaf = F.col("gram").bitwiseAND(_low(length + 1)).alias("leaf")
+    leaf = F.col("key").bitwiseAND(_low(length + 1)).alias("leaf")
     rows = trie.filter("seen > 0").groupBy(leaf).agg(F.sum("seen").alias("seen")).orderBy("leaf").collect()
     return tuple(np.array([row[i] for row in rows], np.int64) for i in (0, 1))
