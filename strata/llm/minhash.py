@@ -6,11 +6,11 @@ minima and bands of as many maxima are the keys of candidate buckets. With 12 +
 pair at similarity 0.8 has no common bucket with probability (1 - 0.8^4)^24 = 3e-6.
 
 Equal sets are one class from the start, so copies never meet as pairs. In every bucket each class is
-paired with the first class of the bucket alone, and the pair is confirmed on the full sets. Buckets in
-which everything is connected by then are done. In the others, members of different components are
-paired, but not where their known distances from the bucket's first class differ by more than a link
-allows (distance is a metric) or where the sizes of the sets rule a link out: no link is lost. A group
-of near copies thus costs a number of pairs in proportion to its size.
+paired with the first class of the bucket alone; the connected components of these pairs are families, and
+every candidate pair is inside one. A family's sets are divided by size (linked sets differ little) and
+dealt into tiles. Each pair of tiles is a task of bounded size that compares full sets as a matrix product,
+with exact counts, and gives back a spanning part of the links: no link between texts is lost, and no pairs
+are emitted beyond that.
 
 Defined results: a null, empty or wordless text has no shingles and is linked with nothing. Rows that
 repeat a doc_id are linked like any others. A null doc_id gives no component_id unless another document
@@ -19,6 +19,7 @@ of its group has one, and stays if alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.bloom import blocked_bloom, may_be_in
 from strata.llm.common import (
     LOWER,
     distinct,
@@ -40,6 +42,8 @@ from strata.llm.components import components
 
 ROWS_IN_BAND = 4
 PERMUTATIONS = 48
+TILE = 512
+COLUMNS = 4096
 SIGNATURES = "doc_id bigint, n_shingles bigint, name string, bands array<bigint>"
 SETS = "name string, shingles array<bigint>"
 
@@ -141,7 +145,8 @@ def signatures(
 ) -> DataFrame:
     """doc_id, n_shingles, name (of the shingle set) and the band keys of each row."""
     ship_package(docs.sparkSession)
-    return _texts(docs).mapInArrow(_signatures(words, permutations, in_band), SIGNATURES)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return texts.mapInArrow(_signatures(words, permutations, in_band), SIGNATURES)
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -155,27 +160,19 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     )
     # The numbers of the classes are written with them; results do not depend on which has which.
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    sizes = classes.select("node", "n")
 
     members = classes.select("node", F.explode("bands").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("members"))
-    shared = staged(
-        members.join(leaders.filter("members > 1").select("bucket", "first"), "bucket"), "buckets"
-    )
-    sets = staged(_class_sets(docs, classes, shared.select("node").distinct(), words), "sets")
-
-    linked = F.col("common") * 100 >= F.col("either") * percent
-    edge = F.col("node").alias("a"), F.col("first").alias("b")
-    stars = shared.filter("node != first").select("node", "first").distinct()
-    stars = staged(_overlaps(_with_sizes(stars, sizes, percent), sets), "stars")
-    edges = stars.filter(linked).select(*edge)
+    shared = members.join(leaders.filter("members > 1").select("bucket", "first"), "bucket")
+    # Whoever shares a bucket shares its first member, so every candidate pair is inside one family.
+    stars = staged(shared.filter("node != first").select("node", "first").distinct(), "stars")
+    family = components(stars.select(F.col("node").alias("a"), F.col("first").alias("b")))
+    family = family.select("node", F.col("root").alias("family"))
+    sets = staged(_class_sets(docs, classes, family, words), "sets")
+
+    edges = staged(_family_links(sets, percent), "links")
     found = components(edges)
 
-    pairs = _open_pairs(shared, stars, found, percent)
-    more = staged(_overlaps(_with_sizes(pairs, sizes, percent), sets).filter(linked).select(*edge), "more")
-    if not more.isEmpty():
-        found = components(edges.unionByName(more))
-
     grouped = classes.select("name", "node", "doc_id").join(found, "node", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "node"))
     smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
@@ -195,61 +192,118 @@ def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__strata_doc_id")), "left_semi")
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-
-
-def _class_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node and shingles of the wanted classes, from the texts with the smallest doc_id of each."""
-    wanted = staged(classes.join(nodes, "node", "left_semi").select("name", "node", "doc_id"), "wanted")
-    ids = wanted.select(F.col("doc_id").alias("wanted_id"))
-    texts = _texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+def _class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: int) -> DataFrame:
+    """node, family, shingles of the classes in a family, from the texts with the smallest doc_id of each."""
+    wanted = staged(classes.join(family, "node").select("name", "node", "family", "doc_id"), "wanted")
+    # Texts of other classes are left out by a filter of bounded size before any of them is shuffled.
+    ids = wanted.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")).distinct()
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
+    texts = may_be_in(texts, "id", blocked_bloom(ids, "id")).join(ids, "id", "left_semi")
     sets = texts.select("text").mapInArrow(_sets(words), SETS).dropDuplicates(["name"])
-    return sets.join(wanted.select("name", "node"), "name").select("node", "shingles")
-
+    return sets.join(wanted.select("name", "node", "family"), "name").select("node", "family", "shingles")
 
-def _with_sizes(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs with n and first_n, those whose sizes allow a link."""
-    other = sizes.select(F.col("node").alias("first"), F.col("n").alias("first_n"))
-    return (
-        pairs.join(sizes, "node")
-        .join(other, "first")
-        .filter(F.least("n", "first_n") * 100 >= F.greatest("n", "first_n") * percent)
-    )
 
+def _family_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what the links inside families connect.
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with ``common`` and ``either``, the sizes of intersection and union."""
-    one = sets.select("node", F.col("shingles").alias("mine"))
-    other = sets.select(F.col("node").alias("first"), F.col("shingles").alias("theirs"))
-    return (
-        pairs.join(one, "node")
-        .join(other, "first")
-        .withColumn("common", F.size(F.array_intersect("mine", "theirs")))
-        .select("node", "first", "common", (F.col("n") + F.col("first_n") - F.col("common")).alias("either"))
+    Sets that may link differ in size by a factor of 100 / ``percent`` at most, so they are in the same size
+    class or in neighbouring ones. Each class of a family is dealt into tiles of about ``TILE`` sets by
+    hash, and each pair of tiles is one small task: it compares its sets as a matrix product and gives back
+    a spanning part of its links, fewer than it has sets.
+    """
+    ratio = math.log(100 / percent)
+    # The margin keeps a pair right at the limit in neighbouring classes.
+    size_class = F.floor(F.log(F.size("shingles").cast("double")) / F.lit(ratio * (1 + 1e-9))).alias("class")
+    placed = sets.select("node", "family", size_class, "shingles")
+    tiles = placed.groupBy("family", "class").agg(F.ceil(F.count("*") / TILE).alias("tiles"))
+    # A class meets its own tiles and those of the class above.
+    above = tiles.select("family", (F.col("class") - 1).alias("class"), F.col("tiles").alias("above"))
+    below = tiles.select("family", (F.col("class") + 1).alias("class"), F.col("tiles").alias("below"))
+    counted = (
+        tiles.join(above, ["family", "class"], "left")
+        .join(below, ["family", "class"], "left")
+        .na.fill(0, ["above", "below"])
     )
-
-
-def _open_pairs(shared: DataFrame, stars: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket's members that are not connected yet and may link; none with its first."""
-    known = stars.select("node", "first", (1 - F.col("common") / F.col("either")).alias("distance"))
-    placed = shared.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed_up = (
-        placed.groupBy("bucket")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-        .filter("low != high AND members > 2")
-        .select("bucket")
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
+    dealt = placed.join(counted, ["family", "class"]).withColumn("tile", tile)
+    # The pairs of tiles a set takes part in: (class of the first tile, first tile, class of the second, second).
+    own = "transform(sequence(0L, tiles - 1), t -> struct(class AS c, least(tile, t) AS s, class AS d, greatest(tile, t) AS t))"
+    up = "if(above = 0, array(), transform(sequence(0L, above - 1), t -> struct(class AS c, tile AS s, class + 1 AS d, t AS t)))"
+    down = "if(below = 0, array(), transform(sequence(0L, below - 1), t -> struct(class - 1 AS c, t AS s, class AS d, tile AS t)))"
+    meetings = dealt.select(
+        "node", "family", "class", "tile", "shingles", F.explode(F.expr(f"concat({own}, {up}, {down})")).alias("pair")
     )
-    # A pair that the sizes ruled out has no known distance, and nothing follows from it.
-    one = staged(
-        placed.join(mixed_up, "bucket").filter("node != first").join(known, ["node", "first"], "left"), "open"
-    ).select("bucket", "node", "root", "distance")
-    other = one.toDF("bucket", "first", "other_root", "other_distance")
-    near = F.abs(F.col("distance") - F.col("other_distance")) <= 1 - percent / 100 + 1e-9
-    return (
-        one.join(other, "bucket")
-        .filter((F.col("node") < F.col("first")) & (F.col("root") != F.col("other_root")))
-        .filter(F.coalesce(near, F.lit(True)))
-        .select("node", "first")
-        .distinct()
+    meetings = meetings.select(
+        "node", "family", "pair.*", "shingles", ((F.col("class") == F.col("pair.c")) & (F.col("tile") == F.col("pair.s"))).alias("first")
     )
+    return meetings.groupBy("family", "c", "s", "d", "t").applyInArrow(_tile_links(percent), "a bigint, b bigint")
+
+
+def _tile_links(percent: int):
+    def work(group: pa.Table) -> pa.Table:
+        node = group.column("node").to_numpy()
+        first = np.asarray(group.column("first").to_numpy(), bool)
+        lists = group.column("shingles").combine_chunks()
+        offsets = np.asarray(lists.offsets)
+        values = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+        sizes = np.diff(offsets)
+        # A pair of a tile with itself, or of the first tile with the second.
+        same = bool(first.all())
+        left = np.arange(len(node)) if same else np.flatnonzero(first)
+        right = left if same else np.flatnonzero(~first)
+        links = []
+        if len(left) and len(right) and len(node) > 1:
+            links = spanning_links(values, sizes, left, right, percent)
+        a = [int(node[i]) for i, _ in links]
+        b = [int(node[j]) for _, j in links]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return work
+
+
+def spanning_links(
+    values: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Links between sets of ``left`` and ``right`` that connect all that are connected by such links."""
+    # Numbers for the shingles that more than one set has; the others are in no intersection.
+    order = np.argsort(values, kind="stable")
+    ordered = values[order]
+    begins = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    number = np.empty(len(values), np.int64)
+    number[order] = np.cumsum(begins) - 1
+    frequent = np.bincount(number) > 1
+    renumbered = np.cumsum(frequent) - 1
+    kept = frequent[number]
+    owner = np.repeat(np.arange(len(sizes)), sizes)[kept]
+    column = renumbered[number[kept]]
+    width = int(frequent.sum())
+
+    common = np.zeros((len(left), len(right)), np.float32)
+    place_left, place_right = np.full(len(sizes), -1), np.full(len(sizes), -1)
+    place_left[left], place_right[right] = np.arange(len(left)), np.arange(len(right))
+    for start in range(0, width, COLUMNS):
+        inside = (column >= start) & (column < start + COLUMNS)
+        block = np.zeros((2, max(len(left), len(right)), min(COLUMNS, width - start)), np.float32)
+        for side, place in enumerate((place_left, place_right)):
+            mine = place[owner[inside]]
+            block[side, mine[mine >= 0], column[inside][mine >= 0] - start] = 1
+        common += block[0, : len(left)] @ block[1, : len(right)].T
+    either = sizes[left][:, None] + sizes[right][None, :] - common
+    linked = common * 100 >= either * percent
+    rows, columns = np.nonzero(linked & (left[:, None] != right[None, :]))
+
+    root = list(range(len(sizes)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links = []
+    for i, j in zip(left[rows].tolist(), right[columns].tolist()):
+        x, y = top(i), top(j)
+        if x != y:
+            root[x] = y
+            links.append((i, j))
+    return links

@@ -1,10 +1,8 @@
 """URL filter: host rules, then a list of canonical URLs behind a blocked Bloom filter.
 
-The list is kept as a table. Its Bloom filter has 256-bit blocks: one hash picks the block, eight more
-bits of hash set one bit in each of its eight words, so a probe touches one row of the filter. The
-number of blocks is set by the length of the list and never exceeds ``MOST_BLOCKS``, which bounds what
-is broadcast; a list too long for that only lets more URLs pass to the exact join. URLs that may be
-listed go to a hash join with the list, which removes false positives. All of it is DataFrame work.
+The list is kept as a table. Its blocked Bloom filter (see ``bloom``), of bounded size, is broadcast; URLs
+that may be listed go on to a hash join with the list, which removes false positives. All of it is
+DataFrame work.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule, is never
 listed and is allowed. A list entry is a canonical URL; nulls and repeated entries do no harm.
@@ -18,12 +16,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.bloom import blocked_bloom, may_be_in
 from strata.llm.common import lowered, staged
 
-BLOCK_WORDS = 8
-BITS_PER_URL = 16
-MOST_BLOCKS = 1 << 18
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -79,41 +74,6 @@ def listed_urls(pages: DataFrame, labels: Sequence[str] = LISTED_LABELS) -> Data
     return pages.filter(on_host).select(canonical_url(F.col("url")).alias("canonical")).distinct()
 
 
-def _block(canonical: Column, blocks: Column) -> Column:
-    return F.pmod(F.xxhash64(canonical), blocks)
-
-
-def _bit(canonical: Column, word: int) -> Column:
-    """Bit 0-31 that a URL has in a word of its block."""
-    picked = F.shiftrightunsigned(F.xxhash64(F.lit(17), canonical), 5 * word)
-    return F.call_function("shiftleft", F.lit(1), picked.bitwiseAND(31).cast("int"))
-
-
-def blocked_bloom(listed: DataFrame, bits_per_url: int = BITS_PER_URL) -> DataFrame:
-    """The filter: blocks (their number), block, and the words w0 to w7 of each block that has a bit set."""
-    wanted = F.ceil(F.count("*") * bits_per_url / (32 * BLOCK_WORDS))
-    blocks = listed.agg(F.least(F.greatest(wanted, F.lit(1)), F.lit(MOST_BLOCKS)).alias("blocks"))
-    url = F.col("canonical")
-    return (
-        listed.join(F.broadcast(blocks))
-        .groupBy("blocks", _block(url, F.col("blocks")).alias("block"))
-        .agg(*[F.bit_or(_bit(url, word)).alias(f"w{word}") for word in range(BLOCK_WORDS)])
-    )
-
-
-def may_be_listed(rows: DataFrame, bloom: DataFrame) -> DataFrame:
-    """The rows whose ``canonical`` has all its bits set."""
-    url = F.col("canonical")
-    blocks = bloom.agg(F.max("blocks").alias("__blocks"))
-    words = bloom.select(F.col("block").alias("__block"), *[F.col(f"w{w}").alias(f"__w{w}") for w in range(BLOCK_WORDS)])
-    probed = rows.join(F.broadcast(blocks)).join(
-        F.broadcast(words), F.col("__block") == _block(url, F.col("__blocks"))
-    )
-    for word in range(BLOCK_WORDS):
-        probed = probed.filter(F.col(f"__w{word}").bitwiseAND(_bit(url, word)) != 0)
-    return probed.select(*rows.columns)
-
-
 def rule_of(host: Column, path: Column, rules: Sequence[Rule] = RULES) -> Column:
     """The longest rule that fits, as its text; of equally long ones that with the longer host, then the
     smaller text. Null if none fits."""
@@ -134,10 +94,8 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES) ->
     ).withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     judged = staged(judged.withColumn("row_no", F.monotonically_increasing_id()), "judged")
     listed = staged(listed.filter("canonical IS NOT NULL").distinct(), "listed")
-    suspects = may_be_listed(
-        judged.filter("rule IS NULL AND canonical IS NOT NULL").select("row_no", "canonical"),
-        blocked_bloom(listed),
-    )
+    open_pages = judged.filter("rule IS NULL AND canonical IS NOT NULL").select("row_no", "canonical")
+    suspects = may_be_in(open_pages, "canonical", blocked_bloom(listed, "canonical"))
     hits = suspects.join(listed.hint("shuffle_hash"), "canonical", "left_semi")
     hits = hits.select("row_no", F.lit(True).alias("listed"))
     verdicts = {rule.text: rule.verdict for rule in rules}
