@@ -234,16 +234,14 @@ def report_hourly_density_weighted(spark: SparkSession, folder: str) -> DataFram
 
 def sql_monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
     views = {"strata_gold_monthly": rollup.gold_by(silver(spark, folder), "month")}
-    return sources.run_sql_file(
-        spark, SQL_FOLDER / "monthly_revenue.sql", views, {"gold": "strata_gold_monthly"}
-    )
+    args = {"gold": "strata_gold_monthly"} | reports.REVENUE_ARGS
+    return sources.run_sql_file(spark, SQL_FOLDER / "monthly_revenue.sql", views, args)
 
 
 def sql_hourly_density(spark: SparkSession, folder: str) -> DataFrame:
     views = {"strata_gold_focus": rollup.gold_focus(silver(spark, folder), fv.FOCUS_MONTH)}
-    return sources.run_sql_file(
-        spark, SQL_FOLDER / "hourly_density.sql", views, {"gold": "strata_gold_focus"}
-    )
+    args = {"gold": "strata_gold_focus"} | reports.DENSITY_ARGS
+    return sources.run_sql_file(spark, SQL_FOLDER / "hourly_density.sql", views, args)
 
 
 # Projections
@@ -360,7 +358,7 @@ def _trips_with_position(spark: SparkSession, folder: str) -> DataFrame:
 def _clustered(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_folder(spark, "clustered")
     rows = sinks.with_pickup_date(_trips_with_position(spark, folder))
-    clustered = sinks.cluster_rows(rows, [fv.PICKUP], 16, "position")
+    clustered = sinks.cluster_rows(rows, [fv.PICKUP], tie_break="position")
     sinks.write_table(clustered, target)
     return sources.read_table(spark, target, clustered.schema)
 
@@ -371,7 +369,7 @@ def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     parts = three_parts(fv.PICKUP)
     keys = (fv.DAY_SLICE, fv.HOUR_SLICE)
     rows = _trips_with_position(spark, folder).selectExpr("*", *[f"{parts[name]} AS {name}" for name in keys])
-    clustered = sinks.zorder_rows(rows, keys, 5, 16, "position")
+    clustered = sinks.zorder_rows(rows, keys, 5, tie_break="position")
     sinks.write_table(clustered, target)
     return sources.read_table(spark, target, clustered.schema)
 

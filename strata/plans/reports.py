@@ -12,6 +12,12 @@ from strata.functions.labels import label_of, sign_status
 from strata.operators.deviation import deviation_from_mean
 from strata.operators.rollup import hour_profile
 
+# Labels and status texts as the named parameters of the SQL files.
+REVENUE_ARGS = {f"month_{month}": label for month, label in fv.MONTH_LABELS.items()} | dict(
+    zip(("above", "below", "equal"), fv.REVENUE_STATUS)
+)
+DENSITY_ARGS = dict(zip(("above", "below", "equal"), fv.DENSITY_STATUS))
+
 
 def monthly_revenue(
     gold_monthly: DataFrame,

@@ -67,7 +67,8 @@ def ingest(
 
 def append_widening(rows: DataFrame, table: str) -> None:
     """Append to a catalog table by column name. Columns only the rows have are added to the table
-    (NULL in its old rows); columns only the table has are NULL in the new rows."""
+    (NULL in its old rows); columns only the table has are NULL in the new rows. A column whose type
+    could lose values in the table's raises, and nothing is written."""
     spark = rows.sparkSession
     known = {field.name.lower() for field in spark.table(table).schema}
     new = [field for field in rows.schema if field.name.lower() not in known]
@@ -75,14 +76,27 @@ def append_widening(rows: DataFrame, table: str) -> None:
         added = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in new)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
     given = {name.lower(): name for name in rows.columns}
+    types = dict(rows.dtypes)
     columns = []
     for field in spark.table(table).schema:
         name = given.get(field.name.lower())
+        if name and not _keeps_values(types[name], field.dataType.simpleString()):
+            raise ValueError(f"{name} is {types[name]}, and {table} has it as {field.dataType.simpleString()}")
         value = F.col(f"`{name}`") if name else F.lit(None)
         columns.append(value.cast(field.dataType).alias(field.name))
     rows.select(*columns).write.mode("append").insertInto(table)
 
 
+def _keeps_values(given: str, stored: str) -> bool:
+    """Whether every value of one type is the same value in another."""
+    whole = ["tinyint", "smallint", "int", "bigint"]
+    if given == stored or given == "void":
+        return True
+    if given in whole and stored in whole:
+        return whole.index(given) < whole.index(stored)
+    return (given, stored) in {("float", "double"), ("tinyint", "double"), ("smallint", "double"), ("int", "double")}
+
+
 def row_position() -> Column:
     """A number for the place of a row in its file, for rows straight from a scan. It tells equal rows
     apart, and a repeated task computes it again, which no random number promises."""

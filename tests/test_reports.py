@@ -56,16 +56,24 @@ def test_density_rounds_only_its_results(spark):
 
 def test_sql_texts_give_the_reports(spark):
     views = {"lake.gold.monthly": monthly(spark, {1: 10.0, 2: 20.005, 3: 31.0, 6: 1.0})}
-    by_sql = run_sql_file(spark, catalog.SQL_FOLDER / "monthly_revenue.sql", views, {"gold": "lake_gold_monthly"})
+    by_sql = run_sql_file(spark, catalog.SQL_FOLDER / "monthly_revenue.sql", views, {"gold": "lake_gold_monthly"} | reports.REVENUE_ARGS)
     by_frame = reports.monthly_revenue(next(iter(views.values())))
     assert by_sql.collect() == by_frame.collect() and by_sql.columns == by_frame.columns
 
     views = {"lake.gold.focus": focus(spark)}
-    by_sql = run_sql_file(spark, catalog.SQL_FOLDER / "hourly_density.sql", views, {"gold": "lake_gold_focus"})
+    by_sql = run_sql_file(spark, catalog.SQL_FOLDER / "hourly_density.sql", views, {"gold": "lake_gold_focus"} | reports.DENSITY_ARGS)
     by_frame = reports.hourly_density(focus(spark))
     assert by_sql.collect() == by_frame.collect() and by_sql.columns == by_frame.columns
 
 
+def test_a_null_deviation_counts_as_the_mean_in_sql_too(spark):
+    views = {"nulls": monthly(spark, {1: 10.0, 2: None, 3: 12.0})}
+    args = {"gold": "nulls"} | reports.REVENUE_ARGS
+    by_sql = run_sql_file(spark, catalog.SQL_FOLDER / "monthly_revenue.sql", views, args).collect()
+    assert by_sql == reports.monthly_revenue(views["nulls"]).collect()
+    assert by_sql[1].desvio_da_media is None and by_sql[1].status_performance == fv.REVENUE_STATUS[2]
+
+
 def test_a_sql_text_may_name_its_tables(spark, tmp_path):
     text = tmp_path / "query.sql"
     text.write_text("SELECT sum(total_amount) AS s FROM lake.gold.monthly -- lake.gold.monthly_old\n;\n")
