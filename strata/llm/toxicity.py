@@ -40,6 +40,7 @@ NEAR = 5
 TREES = 20
 DEPTH = 3
 CALIBRATION_FIFTH = 5
+LEAST_SPLIT = 100  # a smaller sample both trains and calibrates
 
 # Insults and words of contempt, and words that address a reader.
 LEXICON = (
@@ -204,11 +205,14 @@ def score(
     taught = staged(taught.mapInArrow(_feature_rows(learned), _FEATURE_ROWS), "features")
     taught = taught.withColumn("label", F.col("held_out").cast("double"))
     calibrates = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(CALIBRATION_FIFTH)) == 0
+    trains = ~calibrates
+    if sum(classes.values()) < LEAST_SPLIT:
+        trains = calibrates = F.lit(True)
 
     gather = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
     trees = GBTClassifier(
         featuresCol="__features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1
-    ).fit(gather.transform(taught.filter(~calibrates).coalesce(4)))
+    ).fit(gather.transform(taught.filter(trains).coalesce(4)))
 
     def margin(rows: DataFrame) -> DataFrame:
         scored = trees.transform(gather.transform(rows))
