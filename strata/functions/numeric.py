@@ -1,40 +1,69 @@
-"""Sums that do not depend on the order of rows, as SQL expressions.
+"""Sums of doubles, as SQL expressions: nothing is rounded away and no size of value fails.
 
-A sum of doubles changes in its last digits with the partitioning. Money and distances have few
-decimals, so a value is split into whole units and a count of small ticks, and both are summed as
-longs: the answer is the same whatever the cluster does, partial sums merge without loss, and the
-adding stays long arithmetic in generated code (decimal sums give the same totals, but more than
-doubled the time of the roll-up). A sum past the range of a long raises under ANSI.
+A sum of doubles changes in its last digits with the partitioning. A value below ``LARGE`` is therefore
+split into ticks of ``10 ** -decimals``, finer ticks of ``10 ** -FINE``, and a rest. Ticks are summed as
+longs, which is exact, free of order, and cheaper than decimals. For values that are doubles of numbers
+with few decimals, such as money, the rest is 0 and the total is the double nearest to the decimal sum.
+The rest of other values (below the last tick, or digits of the double itself) and values from ``LARGE``
+on are summed as doubles: they count in full, with the usual precision of such a sum.
+
+Ticks are summed in three digits (below 10 ** ``decimals``, below ``HIGH`` units, and above), so no long can
+overflow for any number of rows below 10 ** 12.
 """
 
 from __future__ import annotations
 
-# Values are taken to four decimals: two more than money and distances have.
+# The first tick: two decimals more than money and distances have.
 DECIMALS = 4
+FINE = 11
+HIGH = 1 << 20
+# Up to here a count of ticks is a whole number that a double holds exactly.
+LARGE = "5e11D"
 _INFINITY = "double('Infinity')"
 
+# Names of the parts of a sum. Each is a sum itself, so parts are merged by adding them.
+SUM_PARTS = ("high", "units", "ticks", "fine", "rest")
+
 
-def unit_sum(value: str) -> str:
-    """Sum of the whole units of the finite values."""
-    return f"sum(bigint({_finite(value)}))"
+def sum_parts(value: str, decimals: int = DECIMALS) -> dict[str, str]:
+    """The parts of the sum of the finite values, as aggregates by name."""
+    scale = 10**decimals
+    value = f"double({value})"
+    small = f"abs({value}) < {LARGE}"
+    ticks = f"bigint(rint({value} * {scale}D))"
+    left = f"({value} - {ticks} / {scale}D)"
+    fine = f"bigint(rint({left} * 1e{FINE}D))"
 
+    def of_small(part: str) -> str:
+        return f"sum(CASE WHEN {small} THEN {part} END)"
 
-def tick_sum(value: str, decimals: int = DECIMALS) -> str:
-    """Sum of what is left of the finite values, in ticks of ``10 ** -decimals``."""
-    finite = _finite(value)
-    return f"sum(bigint(rint(({finite} - double(bigint({finite}))) * {10**decimals}D)))"
+    # NaN sorts above every number in Spark, so one comparison drops it with the infinities.
+    large = f"WHEN abs({value}) < {_INFINITY} THEN {value}"
+    return {
+        "high": of_small(f"{ticks} div {scale * HIGH}L"),
+        "units": of_small(f"{ticks} div {scale}L % {HIGH}L"),
+        "ticks": of_small(f"{ticks} % {scale}L"),
+        "fine": of_small(fine),
+        "rest": f"sum(CASE WHEN {small} THEN {left} - {fine} / 1e{FINE}D {large} END)",
+    }
 
 
-def joined_total(units: str, ticks: str, low: str, high: str, decimals: int = DECIMALS) -> str:
-    """The total as a double, from the two sums and the extremes of the same values.
+def joined_total(parts: dict[str, str], low: str, high: str, decimals: int = DECIMALS) -> str:
+    """The total as a double, from the parts of a sum and the extremes of the same values.
 
-    NaN and infinities are left out of the sums and show in the extremes: they decide the total
+    NaN and infinities are left out of the parts and show in the extremes: they decide the total
     just as they would in a sum of doubles.
     """
-    whole = f"cast({units} AS decimal({19 + decimals},{decimals}))"
-    rest = f"cast({ticks} AS decimal(19,0)) * {10**-decimals:.{decimals}f}BD"
+
+    def whole(part: str) -> str:
+        return f"cast(coalesce({parts[part]}, 0L) AS decimal(19,0))"
+
+    exact = (
+        f"{whole('high')} * {HIGH}BD + {whole('units')}"
+        f" + {whole('ticks')} * {_power(decimals)} + {whole('fine')} * {_power(FINE)}"
+    )
     all_finite = f"abs({low}) < {_INFINITY} AND abs({high}) < {_INFINITY}"
-    return f"CASE WHEN {all_finite} THEN double({whole} + {rest}) ELSE {low} + {high} END"
+    return f"CASE WHEN {all_finite} THEN double({exact}) + coalesce({parts['rest']}, 0D) ELSE {low} + {high} END"
 
 
 def mean_of(total: str, count: str) -> str:
@@ -44,11 +73,9 @@ def mean_of(total: str, count: str) -> str:
 
 def exact_mean(value: str, decimals: int = DECIMALS) -> str:
     """Mean of the non-null values, as an aggregate."""
-    low, high = f"min({value})", f"max({value})"
-    total = joined_total(unit_sum(value), tick_sum(value, decimals), low, high, decimals)
+    total = joined_total(sum_parts(value, decimals), f"min({value})", f"max({value})", decimals)
     return mean_of(total, f"count({value})")
 
 
-def _finite(value: str) -> str:
-    # NaN sorts above every number in Spark, so one comparison drops it with the infinities.
-    return f"CASE WHEN abs({value}) < {_INFINITY} THEN double({value}) END"
+def _power(decimals: int) -> str:
+    return f"{10**-decimals:.{decimals}f}BD"

@@ -116,6 +116,9 @@ def cast_losses(rows: DataFrame, types: Mapping[str, str] = fv.REPAIRED_TYPES) -
             f" count(`{field.name}`) - count({cast}) AS values_lost,"
             f" count_if({cast} != `{field.name}`) AS fractions_cut)"
         )
+    if not counts:
+        counts_type = f"{fv.FILE_NAME} string, {fv.FIELD_NAME} string, values_lost bigint, fractions_cut bigint"
+        return rows.sparkSession.createDataFrame([], counts_type)
     per_file = rows.groupBy(fv.FILE_NAME).agg(F.expr(f"array({', '.join(counts)})").alias("counts"))
     return per_file.selectExpr(fv.FILE_NAME, "inline(counts)")
 

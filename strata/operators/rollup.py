@@ -22,7 +22,7 @@ from strata.functions.calendar import (
     three_parts,
     travel_seconds,
 )
-from strata.functions.numeric import DECIMALS, joined_total, mean_of, tick_sum, unit_sum
+from strata.functions.numeric import DECIMALS, SUM_PARTS, joined_total, mean_of, sum_parts
 
 ALL_STATS = ("total", "avg", "max", "min")
 ROWS = "_rows"
@@ -31,8 +31,8 @@ _FOLDS = {"count": "sum", "max": "max", "min": "min"}
 
 @dataclass(frozen=True)
 class Measure:
-    """A column to summarise. Fractional values are summed exactly to ``decimals`` places;
-    None sums the column as it is, which is right for whole numbers."""
+    """A column to summarise. Fractional values are summed by ``numeric.sum_parts`` with ticks of
+    ``decimals`` places; None sums the column as it is, which is right for whole numbers."""
 
     column: str
     stats: tuple[str, ...] = ALL_STATS
@@ -52,7 +52,7 @@ class Measure:
         if self.decimals is None:
             sums = {"sum": f"sum({column})"}
         else:
-            sums = {"units": unit_sum(column), "ticks": tick_sum(column, self.decimals)}
+            sums = sum_parts(column, self.decimals)
         others = {"count": f"count({column})", "max": f"max({column})", "min": f"min({column})"}
         return {self._part(kind): part for kind, part in (sums | others).items()}
 
@@ -66,7 +66,8 @@ class Measure:
         if self.decimals is None:
             total = self._part("sum")
         else:
-            total = joined_total(self._part("units"), self._part("ticks"), low, high, self.decimals)
+            sums = {kind: self._part(kind) for kind in SUM_PARTS}
+            total = joined_total(sums, low, high, self.decimals)
         finished = {"total": total, "avg": mean_of(total, count), "max": high, "min": low}
         return {self.metric(stat): finished[stat] for stat in self.stats}
 

@@ -200,6 +200,13 @@ def orders_monthly_buckets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def lineitem_tax_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Tax on discounts by month: values with six decimals."""
+    cents = " * ".join(f"bigint(rint({name} * 100))" for name in ("l_extendedprice", "l_discount", "l_tax"))
+    taxed = table(spark, folder, "lineitem").selectExpr("l_shipdate", f"{cents} / 1e6D AS tax")
+    return rollup.rollup(taxed, "month", "l_shipdate", [Measure("tax")], count_name="total_lines")
+
+
 # Comparison with the mean, and reports
 
 
@@ -429,6 +436,7 @@ def queries() -> dict[str, Query]:
         "events_hourly_rollup": events_hourly_rollup,
         "orders_monthly_rollup": orders_monthly_rollup,
         "orders_monthly_buckets": orders_monthly_buckets,
+        "lineitem_tax_rollup": lineitem_tax_rollup,
         "label_month": label_month,
         "deviation_status": deviation_status,
         "baseline_all_orders": baseline_all_orders,
@@ -452,6 +460,7 @@ def queries() -> dict[str, Query]:
         "cluster_range_scan": cluster_range_scan,
         "zorder_roundtrip": zorder_roundtrip,
         "medallion_bronze": medallion_layer("bronze"),
+        "medallion_cast_losses": medallion_layer("cast_losses"),
         "medallion_silver": medallion_layer("silver"),
         "medallion_ladder": medallion_layer("quality_ladder"),
         "medallion_gold_monthly": medallion_layer("gold_monthly"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
 from strata.config import RunOptions
-from strata.operators.harmonize import harmonize, schema_drift, schema_matrix, stack
+from strata.operators.harmonize import cast_losses, harmonize, schema_drift, schema_matrix, stack
 from strata.operators.quality import quality_ladder, trip_gates
 from strata.operators.rollup import gold_by_from_cells, gold_focus_from_cells, trip_cells
 from strata.plans.reports import hourly_density, monthly_revenue
@@ -48,10 +48,11 @@ def run_medallion(
     layers["schema_drift"] = schema_drift(layers["landing_fields"])
     layers["unreadable_files"] = unreadable_files(footers)
 
-    frames = [harmonize(rows) for rows in read_landing(spark, landing, footers)]
-    bronze = layers["bronze"] = stored("bronze", stamped(stack(frames)))
+    landed = read_landing(spark, landing, footers)
+    layers["cast_losses"] = stored("cast_losses", stack([cast_losses(rows) for rows in landed]))
+    bronze = layers["bronze"] = stored("bronze", stamped(stack([harmonize(rows) for rows in landed])))
 
-    ladder = stored("quality_ladder", quality_ladder(bronze, trip_gates(options.gates)))
+    ladder = stored("gate_ladder", quality_ladder(bronze, trip_gates(options.gates)))
 
     # The ladder tells how many rows reach the shuffles of the silver layer. Lineage is kept: silver
     # rows still name the file they came from.
@@ -60,7 +61,8 @@ def run_medallion(
     with partitions_for(spark, passed, options.silver_rows_per_file):
         silver = with_pickup_date(stamped(silver_rows(bronze, options)))
         layers["silver"] = stored("silver", cluster_rows(silver, [fv.PICKUP], files))
-    layers["quality_ladder"] = with_dedup_step(ladder, layers["silver"])
+    complete = with_dedup_step(ladder, layers["silver"]).coalesce(1).sortWithinPartitions("step")
+    layers["quality_ladder"] = stored("quality_ladder", complete)
 
     cells = layers["trip_cells"] = stored("trip_cells", trip_cells(layers["silver"]))
     gold = {

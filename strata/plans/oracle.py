@@ -280,6 +280,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS TIME_SLICE, COUNT(*) AS total_orders,
                    {money("o_totalprice", "total_o_totalprice")}
             FROM orders GROUP BY 1""",
+        "lineitem_tax_rollup": """
+            WITH taxed AS (
+              SELECT l_shipdate, CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(4,2))
+                                   * CAST(l_tax AS DECIMAL(4,2)) AS tax
+              FROM lineitem)
+            SELECT CAST(month(l_shipdate) AS INT) AS TIME_SLICE, COUNT(*) AS total_lines,
+                   CAST(SUM(tax) AS DOUBLE) AS total_tax, CAST(SUM(tax) AS DOUBLE) / COUNT(tax) AS avg_tax,
+                   CAST(MAX(tax) AS DOUBLE) AS max_tax, CAST(MIN(tax) AS DOUBLE) AS min_tax
+            FROM taxed GROUP BY 1""",
         "label_month": f"""
             WITH {TRIPS}
             SELECT CAST(month(tpep_pickup_datetime) AS INT) AS month, COUNT(*) AS trips,
@@ -369,6 +378,11 @@ def oracle_sql() -> dict[str, str]:
         "medallion_bronze": f"""
             WITH {TRIPS}, {PUBLISHED}
             SELECT *, 'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT FROM published""",
+        "medallion_cast_losses": f"""
+            WITH {TRIPS}, {PUBLISHED}
+            SELECT DISTINCT FILE_NAME, FIELD_NAME, CAST(0 AS BIGINT) AS values_lost, CAST(0 AS BIGINT) AS fractions_cut
+            FROM published, (VALUES ('VendorID'), ('passenger_count'), ('RatecodeID'), ('PULocationID'),
+                                    ('DOLocationID')) AS repaired(FIELD_NAME)""",
         "medallion_silver": f"""
             WITH {RUN}
             SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE,

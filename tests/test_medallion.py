@@ -58,6 +58,13 @@ def test_audit_layers_describe_the_files(layers):
     assert layers["unreadable_files"].count() == 0
 
 
+def test_losses_and_the_whole_ladder_are_stored(spark, landing):
+    run_medallion(spark, landing, target := scratch_folder(spark, "store"), catalog.AS_CODED)
+    assert spark.read.parquet(f"{target}/quality_ladder").count() == 12
+    losses = spark.read.parquet(f"{target}/cast_losses")
+    assert losses.count() == 6 * 5 and total(losses, "values_lost") == 0
+
+
 def test_a_catalog_store_can_be_run_again(spark, landing, layers):
     spark.sql("CREATE DATABASE IF NOT EXISTS lake")
     for _ in range(2):

@@ -73,6 +73,18 @@ def test_exact_sum_of_awkward_values(trip_rows):
     assert rollup.gold_by(rows, "month").first().total_tip_amount == expected
 
 
+@pytest.mark.parametrize(
+    "values",
+    [[0.00004] * 100_000, [1e19, 1.0], [1e300, -1e300, 0.5], [4e-30] * 1024, [2.0**62] * 8, [0.123456] * 1000],
+)
+def test_sums_of_any_size_are_kept(spark, values):
+    rows = spark.createDataFrame([(value,) for value in values], "x double").repartition(3)
+    row = rollup.summarise(rows, {"k": "1"}, [Measure("x")]).first()
+    expected = math.fsum(values)
+    assert row.total_x == pytest.approx(expected, rel=1e-14)
+    assert row.avg_x == pytest.approx(expected / len(values), rel=1e-14)
+
+
 @pytest.mark.parametrize(
     "values, check",
     [
