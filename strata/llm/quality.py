@@ -128,19 +128,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, teaches: Col
     """text and label of at most ``most`` / 2 rows per class, those with the smallest text hashes."""
     known = labels.select(F.col("doc_id").alias("labelled_id"), F.col(label).cast("int").alias("label"))
     known = known.filter("label IS NOT NULL AND labelled_id IS NOT NULL").dropDuplicates(["labelled_id", "label"])
-    rows = (
-        docs.filter(teaches)
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(known, F.col("doc_id") == F.col("labelled_id"))
-        .select("text", "label", F.xxhash64("text").alias("order"))
-    )
-    # Ids first: whole texts are fetched for the picked rows alone.
-    of_class = [
-        rows.filter(F.col("label") == value).select("order", "label").distinct().orderBy("order").limit(most // 2)
-        for value in (0, 1)
-    ]
-    picked = of_class[0].unionByName(of_class[1])
-    return rows.join(F.broadcast(picked), ["order", "label"]).dropDuplicates(["order", "label"])
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.filter(teaches).select("doc_id", text.alias("text"), F.xxhash64(text).alias("order"))
+    # Only ids and hashes meet the labels; one id stands for each text, so its copies are not fetched.
+    hashed = texts.select("doc_id", "order").join(known, F.col("doc_id") == F.col("labelled_id"))
+    hashed = hashed.groupBy("order", "label").agg(F.min("doc_id").alias("doc_id"))
+    of_class = [hashed.filter(F.col("label") == value).orderBy("order").limit(most // 2) for value in (0, 1)]
+    # ``most`` rows are broadcast; the documents are read again, and no text outside the sample is shuffled.
+    picked = F.broadcast(of_class[0].unionByName(of_class[1]))
+    sample = texts.join(picked, ["doc_id", "order"]).select("text", "label", "order")
+    return sample.dropDuplicates(["order", "label"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, teaches: Column, most: int = SAMPLE_ROWS) -> LatentVote:
