@@ -195,10 +195,12 @@ def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 def _class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: int) -> DataFrame:
     """node, family, shingles of the classes in a family, from the texts with the smallest doc_id of each."""
     wanted = staged(classes.join(family, "node").select("name", "node", "family", "doc_id"), "wanted")
-    # Texts of other classes are left out by a filter of bounded size before any of them is shuffled.
+    # No text is shuffled: a filter of bounded size leaves out those of other classes, and the sets of the
+    # few that it lets pass are left out by the exact join on names. A semi join on ids here would be moved
+    # below the filter by the optimizer, and would shuffle every text.
     ids = wanted.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")).distinct()
     texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
-    texts = may_be_in(texts, "id", blocked_bloom(ids, "id")).join(ids, "id", "left_semi")
+    texts = may_be_in(texts, "id", blocked_bloom(ids, "id"))
     sets = texts.select("text").mapInArrow(_sets(words), SETS).dropDuplicates(["name"])
     return sets.join(wanted.select("name", "node", "family"), "name").select("node", "family", "shingles")
 
