@@ -2,9 +2,10 @@
 
 Each tree hashes a vector to a string of ``BITS`` bits, one random hyperplane each, and keeps its strings
 as a sorted array. A search descends every tree to the longest prefix that matches the query's string,
-then ascends all trees together, one bit at a time, until the ranges of strings that share the prefix
-hold ``candidate_share`` of the shard's vectors between them, counted once per tree. The union of these
-candidates is scored exactly, in double precision.
+then ascends all trees together, one bit at a time, until the union of the ranges of strings that share
+the prefix holds ``candidate_share`` of the shard's vectors, and ``k`` at least, beside the query's own
+entry, or the whole shard. A vector that many trees find counts once, so a group of near copies cannot
+end a search. The candidates are scored exactly, in double precision.
 
 Vectors with unequal norms get one more component, so that the largest inner product is the smallest
 angle. Equal vectors are one entry; it carries the smallest ids only, as no result can hold more of
@@ -19,6 +20,8 @@ vec_id are one entry for each vector. Ties go to the smaller vec_id.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -31,6 +34,7 @@ BITS = 32
 CANDIDATE_SHARE = 0.7
 SHARD_ROWS = 32_768
 QUERY_ROWS = 4_096
+RANGE_QUERIES = 64
 _FOUND = "query_no bigint, entry bigint, least_id bigint, score double"
 
 
@@ -143,24 +147,29 @@ class Forest:
             for bound in (low, high)
         )
 
-    def candidates(self, vectors: np.ndarray, wanted: float):
-        """The candidates of each query: trees ascend together until they hold ``wanted`` strings."""
-        trees, count = len(self.strings), len(vectors)
+    def candidates(self, vectors: np.ndarray, wanted: int):
+        """The candidates of each query: trees ascend together until their union holds ``wanted`` entries."""
+        trees, count = self.strings.shape
         asked = hash_strings(vectors, trees, self.bits)
-        low, high = np.zeros((2, trees, count), np.int64)
-        open_ = np.arange(count)
-        for depth in range(self.bits, -1, -1):
-            low[:, open_], high[:, open_] = self.ranges(asked[:, open_], depth)
-            enough = (high[:, open_] - low[:, open_]).sum(axis=0) >= wanted
-            open_ = open_[~enough]
-            if not len(open_):
-                break
-        mark = np.zeros(self.strings.shape[1], bool)
-        for query in range(count):
-            mark[:] = False
-            for tree in range(trees):
-                mark[self.order[tree, low[tree, query] : high[tree, query]]] = True
-            yield np.flatnonzero(mark)
+        mark = np.zeros(count, bool)
+        for start in range(0, len(vectors), RANGE_QUERIES):
+            block = asked[:, start : start + RANGE_QUERIES]
+            steps = np.stack([self.ranges(block, depth) for depth in range(self.bits, -1, -1)])
+            for query in range(block.shape[1]):
+                mark[:] = False
+                held, low = 0, steps[0, 0, :, query]
+                high = low
+                for wide_low, wide_high in steps[..., query]:
+                    # Even if all that the trees add were new, it would not be enough: nothing to mark yet.
+                    if held + (wide_high - wide_low - high + low).sum() < wanted:
+                        continue
+                    for tree, order in enumerate(self.order):
+                        mark[order[wide_low[tree] : low[tree]]] = True
+                        mark[order[high[tree] : wide_high[tree]]] = True
+                    low, high, held = wide_low, wide_high, np.count_nonzero(mark)
+                    if held >= wanted:
+                        break
+                yield np.flatnonzero(mark)
 
 
 def search(entries, most, queries, k: int, trees: int, bits: int, share: float):
@@ -168,8 +177,9 @@ def search(entries, most, queries, k: int, trees: int, bits: int, share: float):
     lift = np.sqrt(np.maximum(0.0, most * most - np.einsum("ij,ij->i", entries, entries)))
     forest = Forest(np.column_stack([entries, lift]), trees, bits)
     flat = np.column_stack([queries, np.zeros(len(queries))])
-    # The query's own entry is in the range of every tree.
-    for query, found in enumerate(forest.candidates(flat, max(share * len(entries), k) + trees)):
+    # One more, as the query's own entry may be among them.
+    wanted = min(math.ceil(max(share * len(entries), k)) + 1, len(entries))
+    for query, found in enumerate(forest.candidates(flat, wanted)):
         yield query, found, entries[found] @ queries[query]
 
 

@@ -250,6 +250,30 @@ def test_recall_and_exact_scores(spark):
         assert len(found) == 75 * 20 and hits / len(found) >= 0.9
 
 
+@pytest.mark.parametrize("copies", [3, 4, 8, 14, 19])
+def test_near_copies_do_not_end_a_search(spark, copies):
+    draw = np.random.default_rng(copies)
+    rows, exact = [], {}
+    for length, count in ((64, 500), (24, 60), (16, 15)):
+        centres = draw.standard_normal((-(-count // copies), length))
+        data = np.repeat(centres / np.linalg.norm(centres, axis=1)[:, None], copies, axis=0)[:count]
+        data = (data + 1e-6 * draw.standard_normal(data.shape)).astype(np.float32)
+        exact[length] = (len(rows), data.astype(float))
+        rows += [(len(rows) + i, row.tolist(), 0) for i, row in enumerate(data)]
+    frame = vectors(spark, rows)
+    for shape in ({}, {"shard_rows": 200, "query_rows": 20}):
+        found = ann.nearest(frame, F.col("vec_id") % 5 == 0, k=20, **shape).toPandas()
+        own = {query: set(part["vec_id"]) for query, part in found.groupby("query_id")}
+        for first, data in exact.values():
+            hits = wanted = 0
+            for query in range(-(-first // 5) * 5, first + len(data), 5):
+                scores = data @ data[query - first]
+                best = [first + i for i in np.argsort(-scores, kind="stable") if first + i != query][:20]
+                assert len(own[query]) == len(best) == min(20, len(data) - 1)
+                hits, wanted = hits + len(own[query] & set(best)), wanted + len(best)
+            assert hits / wanted >= 0.9
+
+
 def trie_scores(train, rows, order):
     """Code lengths from a plain trie of dictionaries."""
     seen = defaultdict(Counter)
