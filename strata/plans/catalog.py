@@ -297,8 +297,20 @@ def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
     return harmonize.schema_drift(landing.field_rows(landing.read_footers(spark, landing_folder(spark, folder))))
 
 
+def schema_drift_all_months(spark: SparkSession, folder: str) -> DataFrame:
+    files = landing_folder(spark, folder, whole=True)
+    return harmonize.schema_drift(landing.field_rows(landing.read_footers(spark, files)))
+
+
 def harmonized_union(spark: SparkSession, folder: str) -> DataFrame:
-    files = landing_folder(spark, folder)
+    return _harmonized(spark, landing_folder(spark, folder))
+
+
+def harmonized_union_all_months(spark: SparkSession, folder: str) -> DataFrame:
+    return _harmonized(spark, landing_folder(spark, folder, whole=True))
+
+
+def _harmonized(spark: SparkSession, files: str) -> DataFrame:
     frames = landing.read_landing(spark, files, _stored_footers(spark, files))
     return harmonize.stack([harmonize.harmonize(rows) for rows in frames])
 
@@ -381,25 +393,26 @@ def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_table(spark, target, clustered.schema)
 
 
-# The whole run. Inputs and layers are written once per application and given folder.
+# The whole run, over all months, or over six where the SQL of a query has only those. Inputs and layers
+# are written once per application and given folder.
 
-_landing_folders: dict[tuple[str, str], str] = {}
-_runs: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_landing_folders: dict[tuple[str, str, bool], str] = {}
+_runs: dict[tuple[str, str, bool], dict[str, DataFrame]] = {}
 
 
-def landing_folder(spark: SparkSession, folder: str) -> str:
-    key = (spark.sparkContext.applicationId, folder)
+def landing_folder(spark: SparkSession, folder: str, whole: bool = False) -> str:
+    key = (spark.sparkContext.applicationId, folder, whole)
     if key not in _landing_folders:
-        target = scratch_folder(spark, "landing")
-        _landing_folders[key] = landing_drop.write_landing_drop(table(spark, folder, "lineitem"), target)
+        write = landing_drop.write_whole_landing_drop if whole else landing_drop.write_landing_drop
+        _landing_folders[key] = write(table(spark, folder, "lineitem"), scratch_folder(spark, "landing"))
     return _landing_folders[key]
 
 
-def medallion_layer(name: str) -> Query:
+def medallion_layer(name: str, whole: bool = True) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, folder)
+        key = (spark.sparkContext.applicationId, folder, whole)
         if key not in _runs:
-            files = landing_folder(spark, folder)
+            files = landing_folder(spark, folder, whole)
             _runs[key] = run_medallion(spark, files, scratch_folder(spark, "run"), AS_CODED)
         layer = _runs[key][name]
         return layer.drop(fv.AUDIT_TIME) if fv.AUDIT_TIME in layer.columns else layer
@@ -459,10 +472,15 @@ def queries() -> dict[str, Query]:
         "cluster_roundtrip": cluster_roundtrip,
         "cluster_range_scan": cluster_range_scan,
         "zorder_roundtrip": zorder_roundtrip,
-        "medallion_bronze": medallion_layer("bronze"),
-        "medallion_cast_losses": medallion_layer("cast_losses"),
+        "schema_drift_all_months": schema_drift_all_months,
+        "harmonized_union_all_months": harmonized_union_all_months,
+        "medallion_bronze": medallion_layer("bronze", whole=False),
+        "medallion_bronze_all_months": medallion_layer("bronze"),
+        "medallion_cast_losses": medallion_layer("cast_losses", whole=False),
+        "medallion_cast_losses_all_months": medallion_layer("cast_losses"),
         "medallion_silver": medallion_layer("silver"),
-        "medallion_ladder": medallion_layer("quality_ladder"),
+        "medallion_ladder": medallion_layer("quality_ladder", whole=False),
+        "medallion_ladder_all_months": medallion_layer("quality_ladder"),
         "medallion_gold_monthly": medallion_layer("gold_monthly"),
         "medallion_gold_daily": medallion_layer("gold_daily"),
         "medallion_gold_hourly": medallion_layer("gold_hourly"),

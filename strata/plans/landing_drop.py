@@ -1,15 +1,16 @@
-"""A landing folder of monthly files made from the trip-shaped view, with the schema drift that the
-harmonisation has to repair. It stands in for downloaded files."""
+"""Landing folders of monthly files made from the trip-shaped view, with the schema drift that the
+harmonisation has to repair. They stand in for downloaded files: one holds every month of the view, the
+other six months."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
-from strata.sources.trip_view import VIEW_FIRST_DAY, trips_picked_up
+from strata.sources.trip_view import VIEW_FIRST_DAY, trip_view, trips_picked_up
 
 MONTHS = range(1, 7)
 
@@ -53,3 +54,42 @@ def write_landing_drop(lineitem: DataFrame, folder: str) -> str:
         published = trips.filter(published_month() == month)
         as_published(published, month).write.parquet(f"{folder}/{file_name(month)}")
     return folder
+
+
+def published_in() -> Column:
+    """First day of the month of the file a trip is in: of its pickup month, or for some trips of the
+    month after. December's late trips are in the next year's first file."""
+    late = F.when(F.col("PULocationID") % 13 == 0, 1).otherwise(0)
+    return F.add_months(F.trunc(fv.PICKUP, "month"), late)
+
+
+def write_whole_landing_drop(lineitem: DataFrame, folder: str) -> str:
+    """Write the entries of all months that the view has trips in, one job per schema variant. Each
+    year's January and February files drift as those of ``as_published`` do. A trip without a pickup
+    time has no month and is in no file.
+
+    A month's rows are brought together first, so the number of part files follows the data; adaptive
+    execution splits a large month.
+    """
+    spark = lineitem.sparkSession
+    trips = trip_view(lineitem).withColumn("published", published_in())
+    named = trips.withColumn(fv.FILE_NAME, F.date_format("published", "'yellow_tripdata_'yyyy-MM'.parquet'"))
+    calendar_month = F.month("published")
+    variants = {1: calendar_month == 1, 2: calendar_month == 2, 3: calendar_month > 2}
+    for month, chosen in variants.items():
+        rows = as_published(named.filter(chosen).drop("published"), month).hint("rebalance", fv.FILE_NAME)
+        staged = f"{folder}-staged/{month}"
+        rows.write.partitionBy(fv.FILE_NAME).parquet(staged)
+        _publish(spark, staged, folder)
+    return folder
+
+
+def _publish(spark: SparkSession, staged: str, folder: str) -> None:
+    """Move the entries to the landing folder under their own names, without the key Spark puts before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    for entry in files.listStatus(path(staged)):
+        key, _, name = entry.getPath().getName().partition("=")
+        if key == fv.FILE_NAME and not files.rename(entry.getPath(), path(folder, name)):
+            raise OSError(f"{name} cannot be moved to {folder}")

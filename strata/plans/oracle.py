@@ -153,6 +153,20 @@ published AS (
 
 RUN = f"{TRIPS}, {PUBLISHED}, silver AS (SELECT DISTINCT * FROM published WHERE {ALL_GATES})"
 
+# The same for every month the trips have: late trips of December are in the next year's first file.
+PUBLISHED_ALL = """
+dated AS (
+  SELECT *, date_trunc('month', tpep_pickup_datetime)
+            + to_months(CASE WHEN PULocationID % 13 = 0 THEN 1 ELSE 0 END) AS file_month
+  FROM trips),
+published AS (
+  SELECT * EXCLUDE (file_month) REPLACE (CASE WHEN month(file_month) = 2 THEN NULL ELSE airport_fee END AS airport_fee),
+         'yellow_tripdata_' || strftime(file_month, '%Y-%m') || '.parquet' AS FILE_NAME
+  FROM dated)
+"""
+
+RUN_ALL = f"{TRIPS}, {PUBLISHED_ALL}, silver AS (SELECT DISTINCT * FROM published WHERE {ALL_GATES})"
+
 
 def _ladder(rows: str, last_step: str = "") -> str:
     """Counts written as one filtered count per step over ``rows``."""
@@ -351,6 +365,20 @@ def oracle_sql() -> dict[str, str]:
               ('ratecodeid', 'DoubleType()|LongType()', 'RatecodeID', 6),
               ('airport_fee', 'DoubleType()', 'Airport_fee|airport_fee', 5)) AS t(field, types, spellings, files)""",
         "harmonized_union": f"WITH {TRIPS}, {PUBLISHED} SELECT * FROM published",
+        "schema_drift_all_months": f"""
+            WITH {TRIPS}, {PUBLISHED_ALL}
+            SELECT field, types, spellings, COUNT(DISTINCT FILE_NAME) AS files
+            FROM published, (VALUES
+              ('vendorid', 'IntegerType()|LongType()', 'VendorID', ''),
+              ('pulocationid', 'IntegerType()|LongType()', 'PULocationID', ''),
+              ('dolocationid', 'IntegerType()|LongType()', 'DOLocationID', ''),
+              ('passenger_count', 'DoubleType()|LongType()', 'passenger_count', ''),
+              ('ratecodeid', 'DoubleType()|LongType()', 'RatecodeID', ''),
+              ('airport_fee', 'DoubleType()', 'Airport_fee|airport_fee', '-02.parquet'))
+              AS t(field, types, spellings, without)
+            WHERE without = '' OR NOT suffix(FILE_NAME, without)
+            GROUP BY ALL""",
+        "harmonized_union_all_months": f"WITH {TRIPS}, {PUBLISHED_ALL} SELECT * FROM published",
         "cast_losses": f"""
             WITH {TRIPS}, named AS (
               SELECT *, 'yellow_tripdata_1997-' || lpad(CAST(month(tpep_pickup_datetime) AS VARCHAR), 2, '0')
@@ -383,6 +411,18 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT FILE_NAME, FIELD_NAME, CAST(0 AS BIGINT) AS values_lost, CAST(0 AS BIGINT) AS fractions_cut
             FROM published, (VALUES ('VendorID'), ('passenger_count'), ('RatecodeID'), ('PULocationID'),
                                     ('DOLocationID')) AS repaired(FIELD_NAME)""",
+        "medallion_bronze_all_months": f"""
+            WITH {TRIPS}, {PUBLISHED_ALL}
+            SELECT *, 'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT FROM published""",
+        "medallion_cast_losses_all_months": f"""
+            WITH {TRIPS}, {PUBLISHED_ALL}
+            SELECT DISTINCT FILE_NAME, FIELD_NAME, CAST(0 AS BIGINT) AS values_lost, CAST(0 AS BIGINT) AS fractions_cut
+            FROM published, (VALUES ('VendorID'), ('passenger_count'), ('RatecodeID'), ('PULocationID'),
+                                    ('DOLocationID')) AS repaired(FIELD_NAME)""",
+        "medallion_ladder_all_months": f"WITH {RUN_ALL} " + _ladder("published", """
+            UNION ALL SELECT CAST(12 AS INT), 'duplicates', COUNT(*),
+              COUNT(*) - (SELECT COUNT(*) FROM silver), 0, (SELECT COUNT(*) FROM silver)
+            FROM published WHERE """ + ALL_GATES),
         "medallion_silver": f"""
             WITH {RUN}
             SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE,

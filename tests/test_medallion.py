@@ -7,6 +7,7 @@ from strata import fixed_values as fv
 from strata.plans import catalog, landing_drop
 from strata.plans.medallion import run_medallion
 from strata.session import scratch_folder
+from strata.sources.landing import read_footers as landing_files
 from strata.sources.trip_view import read_given_table
 
 
@@ -85,3 +86,23 @@ def test_silver_file_size_follows_the_ladder(spark, landing):
 def test_worded_rules_keep_more_trips(spark, landing, layers):
     worded = run_medallion(spark, landing, scratch_folder(spark, "store"), catalog.AS_WORDED)
     assert worded["silver"].count() > layers["silver"].count()
+
+
+def test_all_months_are_landed(spark, data):
+    trips = catalog.trips(spark, data)
+    folder = catalog.landing_folder(spark, data, whole=True)
+    files = {row.FILE_NAME for row in landing_files(spark, folder).select("FILE_NAME").distinct().collect()}
+    late = F.col("PULocationID") % 13 == 0
+    months = trips.select(F.add_months(fv.PICKUP, F.when(late, 1).otherwise(0)).alias("day")).distinct().collect()
+    assert files == {landing_drop.file_name(row.day.month, row.day.year) for row in months} and len(files) > 60
+    bronze = catalog.queries()["medallion_bronze_all_months"](spark, data)
+    assert bronze.count() == trips.count()
+    ladder = catalog.queries()["medallion_ladder_all_months"](spark, data).orderBy("step").collect()
+    assert ladder[0].rows_before == trips.count() and ladder[10].rows_removed > 0
+
+
+def test_silver_and_gold_come_from_all_months(spark, data):
+    for name in ("silver", "gold_monthly", "gold_daily", "gold_hourly", "gold_focus"):
+        catalog.queries()[f"medallion_{name}"](spark, data)
+    key = (spark.sparkContext.applicationId, data, True)
+    assert catalog._runs[key]["bronze"].count() == catalog.trips(spark, data).count()
