@@ -14,7 +14,8 @@ are emitted beyond that.
 
 Defined results: a null, empty or wordless text has no shingles and is linked with nothing. Rows that
 repeat a doc_id are linked like any others. A null doc_id gives no component_id unless another document
-of its group has one, and stays if alone.
+of its group has one. ``drop_near`` keeps one row of each group, whatever ids repeat or are null, and every
+row without shingles.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.llm.bloom import blocked_bloom, may_be_in
 from strata.llm.common import (
@@ -46,6 +48,7 @@ TILE = 512
 COLUMNS = 4096
 SIGNATURES = "doc_id bigint, n_shingles bigint, name string, bands array<bigint>"
 SETS = "name string, shingles array<bigint>"
+_NAMED = [StructField("__strata_shingles", LongType()), StructField("__strata_name", StringType())]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,6 +143,20 @@ def _sets(words: int):
     return work
 
 
+def _with_names(words: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_chunks(batch.column("text")):
+                shingles, bounds = shingle_sets(data, offsets, words)
+                rows = batch.slice(first, last - first)
+                added = [pa.array(np.diff(bounds)), pa.array(set_names(shingles, bounds), pa.string())]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, *added], [*rows.schema.names, "__strata_shingles", "__strata_name"]
+                )
+
+    return work
+
+
 def signatures(
     docs: DataFrame, words: int, permutations: int = PERMUTATIONS, in_band: int = ROWS_IN_BAND
 ) -> DataFrame:
@@ -154,6 +171,19 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
     Linked are documents with 100 * intersection >= ``percent`` * union.
     """
+    rows, grouped = _grouped(docs, words, percent)
+    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    of_class = grouped.join(smallest, "root").select("name", "component_id")
+    known = rows.select("doc_id", "n_shingles", "name").join(of_class, "name", "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return known.select(
+        "doc_id", "n_shingles", component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
+    )
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The written signatures, and of each class of equal sets its name, smallest doc_id and group (root)."""
     rows = staged(signatures(docs, words), "signatures")
     classes = rows.filter("n_shingles > 0").groupBy("name").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
@@ -174,22 +204,31 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     found = components(edges)
 
     grouped = classes.select("name", "node", "doc_id").join(found, "node", "left")
-    grouped = grouped.withColumn("root", F.coalesce("root", "node"))
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = grouped.join(smallest, "root").select("name", "component_id")
-    known = rows.select("doc_id", "n_shingles", "name").join(of_class, "name", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return known.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
-    )
+    return rows, grouped.withColumn("root", F.coalesce("root", "node"))
 
 
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id stands for its group, with all their columns."""
-    kept = near_groups(docs, words, percent).filter("kept").select(F.col("doc_id").alias("__strata_doc_id"))
-    kept = staged(kept, "kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__strata_doc_id")), "left_semi")
+    """One row of each group, with all its columns: of the smallest doc_id and, among rows of this id, of
+    the smallest set name, any one. Rows without shingles are groups of their own."""
+    rows, grouped = _grouped(docs, words, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "name")
+    kept = grouped.groupBy("root").agg(F.min(order).alias("least")).select("least.doc_id", "least.name")
+    kept = staged(kept.unionByName(rows.filter("n_shingles = 0").select("doc_id", "name")), "kept")
+    kept = kept.select(F.col("doc_id").alias("__strata_doc_id"), F.col("name").alias("__strata_kept"))
+    repeated = rows.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    repeated = staged(repeated.select(F.col("doc_id").alias("__strata_doc_id")), "repeated")
+    # An id that one row has names the row. Only rows of other ids are told apart by their sets.
+    own = kept.join(repeated, "__strata_doc_id", "left_anti").filter("__strata_doc_id IS NOT NULL")
+    same_id = F.col("doc_id") == F.col("__strata_doc_id")
+    alone = docs.join(own, same_id, "left_semi")
+    others = docs.filter("doc_id IS NULL").unionByName(docs.join(repeated, same_id, "left_semi"))
+    schema = StructType([*docs.schema.fields, *_NAMED])
+    named = others.mapInArrow(_with_names(words), schema)
+    same_row = F.col("doc_id").eqNullSafe(F.col("__strata_doc_id")) & (F.col("__strata_name") == F.col("__strata_kept"))
+    first = named.filter("__strata_shingles > 0").join(kept, same_row, "left_semi")
+    first = first.dropDuplicates(["doc_id", "__strata_name"])
+    told = first.unionByName(named.filter("__strata_shingles = 0"))
+    return alone.unionByName(told.select(*docs.columns))
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: int) -> DataFrame:

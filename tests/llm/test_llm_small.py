@@ -210,6 +210,23 @@ def test_near_groups_equal_brute_force(spark):
     minhash.TILE = 512
 
 
+def test_one_row_of_each_near_group_stays(spark):
+    a, b, c, d = (" ".join(f"{letter}{n}" for n in range(60)) for letter in "abcd")
+    rows = [
+        (1, a), (1, a + " more"), (1, b), (2, b + " more"), (3, c), (4, c + " more"), (4, d), (4, d),
+        (None, a + " else"), (None, "x " + d), (5, ""), (5, ""), (None, None), (6, " "),
+    ]
+    lone = " ".join(f"e{n}" for n in range(60))
+    rows += [(None, lone), (None, lone + " more"), (None, lone)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("name", F.lit(7))
+    kept = [(r.doc_id, r.text) for r in minhash.drop_near(docs, 2).collect()]
+    of = lambda base: [row for row in kept if base in (row[1] or "")]
+    assert [len(of(base)) for base in (a, b, c, d, lone)] == [1] * 5
+    assert [of(base)[0][0] for base in (a, b, c, d, lone)] == [1, 1, 3, 4, None]
+    assert Counter(row for row in kept if not (row[1] or "").strip()) == Counter(rows[10:14])
+    assert len(kept) == 9 and minhash.drop_near(docs, 2).columns == docs.columns
+
+
 def test_drop_near_of_nothing(none):
     assert minhash.drop_near(none).count() == 0 and minhash.near_groups(none, 2).count() == 0
 
