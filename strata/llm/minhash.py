@@ -319,7 +319,7 @@ def spanning_links(
     column = renumbered[number[kept]]
     width = int(frequent.sum())
 
-    common = np.zeros((len(left), len(right)), np.float32)
+    common = np.zeros((len(left), len(right)), np.int64)
     place_left, place_right = np.full(len(sizes), -1), np.full(len(sizes), -1)
     place_left[left], place_right[right] = np.arange(len(left)), np.arange(len(right))
     for start in range(0, width, COLUMNS):
@@ -328,7 +328,8 @@ def spanning_links(
         for side, place in enumerate((place_left, place_right)):
             mine = place[owner[inside]]
             block[side, mine[mine >= 0], column[inside][mine >= 0] - start] = 1
-        common += block[0, : len(left)] @ block[1, : len(right)].T
+        # A block has too few columns to round a count.
+        common += (block[0, : len(left)] @ block[1, : len(right)].T).astype(np.int64)
     either = sizes[left][:, None] + sizes[right][None, :] - common
     linked = common * 100 >= either * percent
     rows, columns = np.nonzero(linked & (left[:, None] != right[None, :]))

@@ -227,6 +227,16 @@ def test_one_row_of_each_near_group_stays(spark):
     assert len(kept) == 9 and minhash.drop_near(docs, 2).columns == docs.columns
 
 
+def test_links_of_very_long_texts_are_exact():
+    # 100 * 671,517 = 99 * 678,300, which single precision rounds down; one shingle less is no link.
+    both, either = 671_517, 678_300
+    for less, links in ((0, 1), (1, 0)):
+        values = np.concatenate([np.arange(either), np.arange(both - less)])
+        sizes = np.array([either, both - less])
+        place = np.arange(2)
+        assert len(minhash.spanning_links(values, sizes, place, place, 99)) == links
+
+
 def test_drop_near_of_nothing(none):
     assert minhash.drop_near(none).count() == 0 and minhash.near_groups(none, 2).count() == 0
 
