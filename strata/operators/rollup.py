@@ -151,9 +151,10 @@ def gold_by(trips: DataFrame, grain: str, calendar: str = "part") -> DataFrame:
 
 
 def gold_focus(trips: DataFrame, month: int) -> DataFrame:
-    """The month/day/hour gold table of one month, straight from trips."""
+    """The month/day/hour gold table of one month, straight from trips, in the order of time."""
     only = with_travel_time(trips.filter(F.month(fv.PICKUP) == month))
-    return summarise(only, three_parts(fv.PICKUP), trip_measures())
+    parts = three_parts(fv.PICKUP)
+    return summarise(only, parts, trip_measures()).orderBy(*parts)
 
 
 def trip_cells(trips: DataFrame) -> DataFrame:
@@ -164,12 +165,13 @@ def trip_cells(trips: DataFrame) -> DataFrame:
 def gold_by_from_cells(cells: DataFrame, grain: str) -> DataFrame:
     key = {"month": fv.MONTH_SLICE, "day": fv.DAY_SLICE, "hour": fv.HOUR_SLICE}[check_grain(grain)]
     measures = trip_measures()
-    return finish(merge_parts(cells, {fv.TIME_SLICE: key}, measures), [fv.TIME_SLICE], measures)
+    merged = merge_parts(cells, {fv.TIME_SLICE: key}, measures)
+    return finish(merged, [fv.TIME_SLICE], measures).orderBy(fv.TIME_SLICE)
 
 
 def gold_focus_from_cells(cells: DataFrame, month: int) -> DataFrame:
     keys = [fv.MONTH_SLICE, fv.DAY_SLICE, fv.HOUR_SLICE]
-    return finish(cells.filter(F.col(fv.MONTH_SLICE) == month), keys, trip_measures())
+    return finish(cells.filter(F.col(fv.MONTH_SLICE) == month), keys, trip_measures()).orderBy(*keys)
 
 
 def hour_profile(focus: DataFrame, hour_mean: str = "mean_of_means") -> DataFrame:

@@ -143,7 +143,7 @@ def silver_as_worded(spark: SparkSession, folder: str) -> DataFrame:
 
 def gold(grain: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return rollup.gold_by(silver(spark, folder), grain)
+        return rollup.gold_by(silver(spark, folder), grain).orderBy(fv.TIME_SLICE)
 
     return query
 
@@ -161,11 +161,14 @@ def gold_from_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_daily_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.gold_by(silver(spark, folder), "day", calendar="bucket")
+    return rollup.gold_by(silver(spark, folder), "day", calendar="bucket").orderBy(fv.TIME_SLICE)
 
 
-def gold_hourly_display(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.gold_by(silver(spark, folder), "hour").withColumnRenamed(fv.TIME_SLICE, "HOUR")
+def gold_display(grain: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return gold(grain)(spark, folder).withColumnRenamed(fv.TIME_SLICE, grain.upper())
+
+    return query
 
 
 def gold_monthly_all_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -442,7 +445,9 @@ def queries() -> dict[str, Query]:
         "gold_month_focus": gold_month_focus,
         "gold_from_cells": gold_from_cells,
         "gold_daily_buckets": gold_daily_buckets,
-        "gold_hourly_display": gold_hourly_display,
+        "gold_monthly_display": gold_display("month"),
+        "gold_daily_display": gold_display("day"),
+        "gold_hourly_display": gold_display("hour"),
         "gold_monthly_all_trips": gold_monthly_all_trips,
         "hourly_trip_volume": hourly_trip_volume,
         "travel_time_stats": travel_time_stats,

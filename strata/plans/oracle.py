@@ -268,6 +268,8 @@ def oracle_sql() -> dict[str, str]:
             WITH {SILVER}
             SELECT CAST(date_trunc('day', tpep_pickup_datetime) AS TIMESTAMP) AS TIME_SLICE, {METRICS}
             FROM silver GROUP BY 1""",
+        "gold_monthly_display": f'WITH {SILVER} SELECT TIME_SLICE AS "MONTH", * EXCLUDE (TIME_SLICE) FROM ({MONTHLY})',
+        "gold_daily_display": f'WITH {SILVER} SELECT TIME_SLICE AS "DAY", * EXCLUDE (TIME_SLICE) FROM ({DAILY})',
         "gold_hourly_display": f'WITH {SILVER} SELECT TIME_SLICE AS "HOUR", * EXCLUDE (TIME_SLICE) FROM ({HOURLY})',
         "gold_monthly_all_trips": f"""
             WITH {TRIPS}

@@ -11,6 +11,7 @@ from strata import fixed_values as fv
 from strata.operators import rollup
 from strata.operators.deviation import deviation_from_mean, with_baseline
 from strata.operators.rollup import Measure
+from strata.plans import catalog
 
 D = dt.datetime
 
@@ -152,3 +153,17 @@ def test_scalar_baseline_equals_the_window(spark):
     window = deviation_from_mean(rows, "x", 4, "mean", "deviation").orderBy("k").collect()
     assert [tuple(row) for row in scalar] == [tuple(row) for row in window]
     assert [row.deviation for row in scalar] == [-10.0, 0.0, 10.0, None]
+
+
+def test_gold_rows_come_in_the_order_of_time(spark, data, view):
+    cells = rollup.trip_cells(view)
+    names = ("gold_monthly", "gold_daily", "gold_hourly", "gold_monthly_display", "gold_daily_display",
+             "gold_hourly_display", "gold_daily_buckets")
+    tables = [catalog.queries()[name](spark, data) for name in names]
+    for gold in tables + [rollup.gold_by_from_cells(cells, grain) for grain in fv.GRAINS]:
+        slices = [row[0] for row in gold.collect()]
+        assert slices == sorted(slices) and len(slices) > 4
+    assert [gold.columns[0] for gold in tables[3:6]] == ["MONTH", "DAY", "HOUR"]
+    for gold in (rollup.gold_focus(view, 5), rollup.gold_focus_from_cells(cells, 5)):
+        keys = [tuple(row[:3]) for row in gold.collect()]
+        assert keys == sorted(keys) and len(keys) > 100
