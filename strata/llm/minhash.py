@@ -198,9 +198,9 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     stars = staged(shared.filter("node != first").select("node", "first").distinct(), "stars")
     family = components(stars.select(F.col("node").alias("a"), F.col("first").alias("b")))
     family = family.select("node", F.col("root").alias("family"))
-    sets = staged(_class_sets(docs, classes, family, words), "sets")
+    sets = staged(class_sets(docs, classes, family, words), "sets")
 
-    edges = staged(_family_links(sets, percent), "links")
+    edges = staged(family_links(sets, percent), "links")
     found = components(edges)
 
     grouped = classes.select("name", "node", "doc_id").join(found, "node", "left")
@@ -231,7 +231,7 @@ def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     return alone.unionByName(told.select(*docs.columns))
 
 
-def _class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: int) -> DataFrame:
+def class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: int) -> DataFrame:
     """node, family, shingles of the classes in a family, from the texts with the smallest doc_id of each."""
     wanted = staged(classes.join(family, "node").select("name", "node", "family", "doc_id"), "wanted")
     # No text is shuffled: a filter of bounded size leaves out those of other classes, and the sets of the
@@ -244,13 +244,13 @@ def _class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: i
     return sets.join(wanted.select("name", "node", "family"), "name").select("node", "family", "shingles")
 
 
-def _family_links(sets: DataFrame, percent: int) -> DataFrame:
+def family_links(sets: DataFrame, percent: int, tile_links=None) -> DataFrame:
     """Links (a, b) that connect what the links inside families connect.
 
     Sets that may link differ in size by a factor of 100 / ``percent`` at most, so they are in the same size
     class or in neighbouring ones. Each class of a family is dealt into tiles of about ``TILE`` sets by
-    hash, and each pair of tiles is one small task: it compares its sets as a matrix product and gives back
-    a spanning part of its links, fewer than it has sets.
+    hash, and each pair of tiles is one small task: it compares its sets, by default as a matrix product, and
+    gives back a spanning part of its links, fewer than it has sets.
     """
     ratio = math.log(100 / percent)
     # The margin keeps a pair right at the limit in neighbouring classes.
@@ -277,7 +277,7 @@ def _family_links(sets: DataFrame, percent: int) -> DataFrame:
     meetings = meetings.select(
         "node", "family", "pair.*", "shingles", ((F.col("class") == F.col("pair.c")) & (F.col("tile") == F.col("pair.s"))).alias("first")
     )
-    return meetings.groupBy("family", "c", "s", "d", "t").applyInArrow(_tile_links(percent), "a bigint, b bigint")
+    return meetings.groupBy("family", "c", "s", "d", "t").applyInArrow(tile_links or _tile_links(percent), "a bigint, b bigint")
 
 
 def _tile_links(percent: int):

@@ -119,6 +119,37 @@ SELECT page_id, host, path, rule,
 FROM ruled LEFT JOIN listed ON canonical = listed_url
 """
 
+NEGATIVES = """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM used a JOIN used r ON a.vec_id != r.vec_id AND len(a.v) = len(r.v)
+  WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": EXACT, "op3_source_mix": MIX, "op4_url_filter": URLS}
+    return {
+        "op2_exact_dedup": EXACT,
+        "op3_source_mix": MIX,
+        "op4_url_filter": URLS,
+        "op12_hard_negatives": NEGATIVES,
+    }

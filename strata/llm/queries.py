@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (
+    alignment,
     ann,
     exact_dedup,
+    hard_negatives,
     minhash,
     mixing,
+    ngram_join,
     ppm,
     quality,
     sentencepiece,
@@ -70,6 +73,20 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def ngram_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_groups(table(spark, folder, "documents"), words=5, percent=80)
+
+
+def hard_negative_rows(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def alignments(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_counts": token_counts,
@@ -82,4 +99,7 @@ def queries() -> dict[str, Query]:
         "op8_lm_score": lm_scores,
         "op9_sentencepiece": pieces,
         "op10_quality": quality_scores,
+        "op11_ngram_join": ngram_groups,
+        "op12_hard_negatives": hard_negative_rows,
+        "op13_alignment": alignments,
     }

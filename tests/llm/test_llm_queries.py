@@ -16,7 +16,7 @@ def test_query_equals_its_sql(spark, data, name):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 14))
 
 
 def test_exact_dedup_runs_no_python(spark, data):
