@@ -46,6 +46,8 @@ DROPOFF = "tpep_dropoff_datetime"
 AUDIT_TIME = "AUD_ING_DTTM"
 AUDIT_SYSTEM = "AUD_ING_SYSTEM"
 AUDIT_SCRIPT = "AUD_ING_SCRIPT"
+# Not in the layers of a run: the batch that rows were appended with.
+AUDIT_BATCH = "AUD_ING_BATCH"
 FILE_NAME = "FILE_NAME"
 AUDIT_FIELDS = [AUDIT_TIME, AUDIT_SYSTEM, AUDIT_SCRIPT, FILE_NAME]
 FIELD_NAME = "FIELD_NAME"

@@ -1,50 +1,61 @@
-"""Sums of doubles, as SQL expressions: nothing is rounded away and no size of value fails.
-
-A sum of doubles changes in its last digits with the partitioning. A value below ``LARGE`` is therefore
-split into ticks of ``10 ** -decimals``, finer ticks of ``10 ** -FINE``, and a rest. Ticks are summed as
-longs, which is exact, free of order, and cheaper than decimals. For values that are doubles of numbers
-with few decimals, such as money, the rest is 0 and the total is the double nearest to the decimal sum.
-The rest of other values (below the last tick, or digits of the double itself) and values from ``LARGE``
-on are summed as doubles: they count in full, with the usual precision of such a sum.
-
-Ticks are summed in three digits (below 10 ** ``decimals``, below ``HIGH`` units, and above), so no long can
-overflow for any number of rows below 10 ** 12.
+"""Sums of doubles, as SQL expressions: nothing is rounded away, and the order of values does not matter.
+
+A sum of doubles changes in its last digits with the partitioning. A value that is the double of a number with
+few decimals, such as money, is therefore counted in ticks of ``10 ** -decimals``, a whole number that a long
+holds: two sums of longs (ticks below and above ``2 ** LOW_BITS``, so that none can overflow), which is exact, free of order
+and cheap. Any other value is the decimal number it prints as, split into a whole part and a fraction of ``FRACTION``
+decimals, each summed as a decimal; on money these sums see only NULL. What lies below those decimals, and
+values from ``LARGE`` on, are summed as doubles, with the usual precision of such a sum.
 """
 
 from __future__ import annotations
 
-# The first tick: two decimals more than money and distances have.
+from collections.abc import Mapping
+
+# Ticks: two decimals more than money and distances have.
 DECIMALS = 4
-FINE = 11
-HIGH = 1 << 20
+LOW_BITS = 24
 # Up to here a count of ticks is a whole number that a double holds exactly.
-LARGE = "5e11D"
+MOST_TICKS = "9007199254740992D"
+FRACTION = 18
+LARGE = "1e18D"
+_NUMBER = f"decimal({18 + FRACTION},{FRACTION})"
 _INFINITY = "double('Infinity')"
 
 # Names of the parts of a sum. Each is a sum itself, so parts are merged by adding them.
-SUM_PARTS = ("high", "units", "ticks", "fine", "rest")
+SUM_PARTS = ("high", "low", "whole", "fraction", "rest")
 
 
-def sum_parts(value: str, decimals: int = DECIMALS) -> dict[str, str]:
-    """The parts of the sum of the finite values, as aggregates by name."""
+def summands(value: str, decimals: int = DECIMALS) -> dict[str, str]:
+    """What the parts of a sum are made of, by name: the ticks of a value with few decimals, and the decimal
+    number of another. As columns of their own they are computed once a row."""
     scale = 10**decimals
     value = f"double({value})"
-    small = f"abs({value}) < {LARGE}"
-    ticks = f"bigint(rint({value} * {scale}D))"
-    left = f"({value} - {ticks} / {scale}D)"
-    fine = f"bigint(rint({left} * 1e{FINE}D))"
+    scaled = f"rint({value} * {scale}D)"
+    is_few = f"abs({scaled}) < {MOST_TICKS} AND {scaled} / {scale}D = {value}"
+    return {
+        "ticks": f"CASE WHEN {is_few} THEN bigint({scaled}) END",
+        "number": f"CASE WHEN abs({value}) < {LARGE} AND NOT ({is_few}) THEN cast({value} AS {_NUMBER}) END",
+    }
 
-    def of_small(part: str) -> str:
-        return f"sum(CASE WHEN {small} THEN {part} END)"
 
-    # NaN sorts above every number in Spark, so one comparison drops it with the infinities.
-    large = f"WHEN abs({value}) < {_INFINITY} THEN {value}"
+def sum_parts(value: str, decimals: int = DECIMALS, of: Mapping[str, str] | None = None) -> dict[str, str]:
+    """The parts of the sum of the finite values, as aggregates by name; ``of`` names columns that hold the
+    summands."""
+    of = of or summands(value, decimals)
+    ticks, number = of["ticks"], of["number"]
+    value = f"double({value})"
+    whole = f"cast({number} AS decimal(28,0))"
     return {
-        "high": of_small(f"{ticks} div {scale * HIGH}L"),
-        "units": of_small(f"{ticks} div {scale}L % {HIGH}L"),
-        "ticks": of_small(f"{ticks} % {scale}L"),
-        "fine": of_small(fine),
-        "rest": f"sum(CASE WHEN {small} THEN {left} - {fine} / 1e{FINE}D {large} END)",
+        "high": f"sum(shiftright({ticks}, {LOW_BITS}))",
+        "low": f"sum(({ticks}) & {(1 << LOW_BITS) - 1}L)",
+        "whole": f"sum({whole})",
+        "fraction": f"sum(cast({number} - cast({whole} AS {_NUMBER}) AS decimal({FRACTION + 1},{FRACTION})))",
+        # NaN sorts above every number in Spark, so one comparison drops it with the infinities.
+        "rest": (
+            f"sum(CASE WHEN abs({value}) >= {LARGE} AND abs({value}) < {_INFINITY} THEN {value}"
+            f" WHEN {number} IS NOT NULL THEN {value} - double({number}) END)"
+        ),
     }
 
 
@@ -58,12 +69,14 @@ def joined_total(parts: dict[str, str], low: str, high: str, decimals: int = DEC
     def whole(part: str) -> str:
         return f"cast(coalesce({parts[part]}, 0L) AS decimal(19,0))"
 
-    exact = (
-        f"{whole('high')} * {HIGH}BD + {whole('units')}"
-        f" + {whole('ticks')} * {_power(decimals)} + {whole('fine')} * {_power(FINE)}"
-    )
+    ticks = f"cast({whole('high')} * {1 << LOW_BITS}BD + {whole('low')} AS decimal(28,0)) * {_power(decimals)}"
+    units = f"({ticks} + coalesce({parts['whole']}, 0BD))"
+    fraction, exact = f"coalesce({parts['fraction']}, 0BD)", f"decimal({19 + FRACTION},{FRACTION})"
+    # Both are added before the one rounding to a double; where that does not fit, the fraction is below its last digit.
+    added = f"double(try_cast({units} AS {exact}) + try_cast({fraction} AS {exact}))"
+    total = f"coalesce({added}, double({units}) + double({fraction})) + coalesce({parts['rest']}, 0D)"
     all_finite = f"abs({low}) < {_INFINITY} AND abs({high}) < {_INFINITY}"
-    return f"CASE WHEN {all_finite} THEN double({exact}) + coalesce({parts['rest']}, 0D) ELSE {low} + {high} END"
+    return f"CASE WHEN {all_finite} THEN {total} ELSE {low} + {high} END"
 
 
 def mean_of(total: str, count: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
@@ -35,14 +36,18 @@ def field_names(fields: DataFrame) -> list[str]:
 def schema_matrix(fields: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One row per file, one column per field, the field's type in each cell or NULL.
 
+    Where the part files of one entry disagree, a cell holds all their types, sorted and joined with "|".
     Spellings that differ in case stay separate columns. Pass ``names`` to save the distinct job.
     """
     columns = list(names) if names is not None else field_names(fields)
+    types = F.array_join(F.array_sort(F.collect_set(fv.VARIABLE_TYPE)), "|").alias("types")
     return (
         fields.withColumnRenamed(fv.FILE_NAME, fv.MATRIX_FILE)
+        .groupBy(fv.MATRIX_FILE, fv.FIELD_NAME)
+        .agg(types)
         .groupBy(fv.MATRIX_FILE)
         .pivot(fv.FIELD_NAME, columns)
-        .agg(F.min(fv.VARIABLE_TYPE))
+        .agg(F.min("types"))
     )
 
 
@@ -68,6 +73,29 @@ def schema_drift(fields: DataFrame) -> DataFrame:
     )
 
 
+def common_types(footers: DataFrame) -> dict[str, str]:
+    """The narrowest type that every type a field has in the files converts to, by field in lower case.
+
+    Whole numbers widen to wider ones, and with fractions to double or decimal, as Spark's own rules for a
+    union have it; types without a common one become string. As large as the schemas, however many files.
+    """
+    fields = footers.select(F.explode("fields").alias("field"))
+    found: dict[str, set[str]] = {}
+    for name, ddl in fields.select(F.lower("field.name"), "field.ddl").distinct().collect():
+        found.setdefault(name, set()).add(ddl)
+    return {name: _widest(footers.sparkSession, sorted(types)) for name, types in sorted(found.items())}
+
+
+def _widest(spark: SparkSession, types: Sequence[str]) -> str:
+    if len(types) == 1:
+        return types[0]
+    try:
+        values = ", ".join(f"CAST(NULL AS {ddl})" for ddl in types)
+        return spark.sql(f"SELECT coalesce({values}) AS value").schema["value"].dataType.simpleString()
+    except AnalysisException:
+        return "string"
+
+
 def harmonize(
     rows: DataFrame,
     types: Mapping[str, str] = fv.REPAIRED_TYPES,

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
@@ -68,24 +68,46 @@ def month_of(rows: DataFrame, month: int, ts: str = fv.PICKUP) -> DataFrame:
     return rows.filter(F.month(ts) == month)
 
 
+def first_failed(gates: Sequence[Gate]) -> str:
+    """The number of the first gate a row fails, negative where that gate met a NULL; one more than there
+    are gates for a row that passes all."""
+    branches = " ".join(
+        f"WHEN ({gate.keeps}) IS NULL THEN {-step} WHEN NOT ({gate.keeps}) THEN {step}"
+        for step, gate in enumerate(gates, 1)
+    )
+    return f"CASE {branches} ELSE {len(gates) + 1} END"
+
+
+def _labels(gates: Sequence[Gate]) -> list[int]:
+    return [*range(-len(gates), 0), *range(1, len(gates) + 2)]
+
+
+def gate_counts(gates: Sequence[Gate], label: str) -> list[Column]:
+    """How many rows have each label of ``first_failed`` in a column, as aggregates to observe while rows are
+    written."""
+    return [F.count_if(F.col(label) == value).alias(f"label_{value}") for value in _labels(gates)]
+
+
+def ladder_of_counts(spark: SparkSession, gates: Sequence[Gate], counts: Mapping[str, int]) -> DataFrame:
+    """The ladder from counts by label."""
+    rows = [(value, int(counts[f"label_{value}"])) for value in _labels(gates)]
+    return _ladder(spark.createDataFrame(rows, "label int, n bigint").coalesce(1), gates)
+
+
 def quality_ladder(rows: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     """What every gate removes when the gates run in order, from one pass over ``rows``.
 
     Columns: step, gate, rows_before, rows_removed, rows_null (the part of rows_removed for which
     the gate could not decide because of a NULL), rows_remaining.
 
-    Each row is labelled with the first gate it fails, negative where that gate met a NULL, and only
-    the labels are counted: a task hands on at most two counts per gate. The counts are an ordinary
-    aggregate, so a task that runs twice is counted once.
+    Each row is labelled with the first gate it fails, and only the labels are counted: a task hands on at
+    most two counts per gate. The counts are an ordinary aggregate, so a task that runs twice is counted once.
     """
-    branches = " ".join(
-        f"WHEN ({gate.keeps}) IS NULL THEN {-step} WHEN NOT ({gate.keeps}) THEN {step}"
-        for step, gate in enumerate(gates, 1)
-    )
-    passed_all = len(gates) + 1
-    labelled = rows.select(F.expr(f"CASE {branches} ELSE {passed_all} END").alias("label"))
-    counted = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    labelled = rows.select(F.expr(first_failed(gates)).alias("label"))
+    return _ladder(labelled.groupBy("label").agg(F.count("*").alias("n")), gates)
+
 
+def _ladder(counted: DataFrame, gates: Sequence[Gate]) -> DataFrame:
     def sum_where(condition: str) -> str:
         return f"coalesce(sum(n) FILTER (WHERE {condition}), 0L)"
 

@@ -22,7 +22,7 @@ from strata.functions.calendar import (
     three_parts,
     travel_seconds,
 )
-from strata.functions.numeric import DECIMALS, SUM_PARTS, joined_total, mean_of, sum_parts
+from strata.functions.numeric import DECIMALS, SUM_PARTS, joined_total, mean_of, sum_parts, summands
 
 ALL_STATS = ("total", "avg", "max", "min")
 ROWS = "_rows"
@@ -46,13 +46,17 @@ class Measure:
     def _part(self, kind: str) -> str:
         return f"_{kind}_{self.column}"
 
+    def summands(self) -> dict[str, str]:
+        """What the sums are made of, by kind: columns to compute before the rows are grouped."""
+        return {} if self.decimals is None else summands(self.column, self.decimals)
+
     def parts(self) -> dict[str, str]:
-        """Mergeable aggregates, by column name."""
+        """Mergeable aggregates, by column name, over rows that have the summands."""
         column = self.column
         if self.decimals is None:
             sums = {"sum": f"sum({column})"}
         else:
-            sums = sum_parts(column, self.decimals)
+            sums = sum_parts(column, self.decimals, {kind: self._part(kind) for kind in self.summands()})
         others = {"count": f"count({column})", "max": f"max({column})", "min": f"min({column})"}
         return {self._part(kind): part for kind, part in (sums | others).items()}
 
@@ -60,14 +64,16 @@ class Measure:
         """The same parts over rows that hold parts."""
         return {name: f"{_FOLDS.get(name.split('_')[1], 'sum')}({name})" for name in self.parts()}
 
-    def metrics(self) -> dict[str, str]:
-        """The finished metrics over rows that hold parts."""
-        low, high, count = self._part("min"), self._part("max"), self._part("count")
+    def total(self) -> dict[str, str]:
+        """The total over rows that hold parts, where it is not a part itself."""
         if self.decimals is None:
-            total = self._part("sum")
-        else:
-            sums = {kind: self._part(kind) for kind in SUM_PARTS}
-            total = joined_total(sums, low, high, self.decimals)
+            return {}
+        sums = {kind: self._part(kind) for kind in SUM_PARTS}
+        return {self._part("sum"): joined_total(sums, self._part("min"), self._part("max"), self.decimals)}
+
+    def metrics(self) -> dict[str, str]:
+        """The finished metrics over rows that hold parts and totals."""
+        low, high, count, total = (self._part(kind) for kind in ("min", "max", "count", "sum"))
         finished = {"total": total, "avg": mean_of(total, count), "max": high, "min": low}
         return {self.metric(stat): finished[stat] for stat in self.stats}
 
@@ -97,9 +103,13 @@ def part_aggregate(rows: DataFrame, keys: Mapping[str, str], measures: Sequence[
     """Group by key expressions, keeping the mergeable parts: one partial and one final hash
     aggregate, whose shuffle carries one row per group and task."""
     parts = {ROWS: "count(*)"}
+    prepared = {}
     for measure in measures:
         parts |= measure.parts()
-    return rows.groupBy(*_named(keys)).agg(*_named(parts))
+        prepared |= {measure._part(kind): text for kind, text in measure.summands().items()}
+    columns = dict.fromkeys(measure.column for measure in measures)
+    rows = rows.selectExpr(*_texts(keys), *[f"`{name}`" for name in columns if name not in keys], *_texts(prepared))
+    return rows.groupBy(*[f"`{name}`" for name in keys]).agg(*_named(parts))
 
 
 def merge_parts(cells: DataFrame, keys: Mapping[str, str], measures: Sequence[Measure]) -> DataFrame:
@@ -113,10 +123,11 @@ def merge_parts(cells: DataFrame, keys: Mapping[str, str], measures: Sequence[Me
 def finish(
     parts: DataFrame, keys: Sequence[str], measures: Sequence[Measure], count_name: str = "total_trips"
 ) -> DataFrame:
-    metrics = {count_name: ROWS}
+    totals, metrics = {}, {count_name: ROWS}
     for measure in measures:
+        totals |= measure.total()
         metrics |= measure.metrics()
-    return parts.selectExpr(*keys, *_texts(metrics))
+    return parts.selectExpr("*", *_texts(totals)).selectExpr(*keys, *_texts(metrics))
 
 
 def summarise(
@@ -146,15 +157,19 @@ def rollup(
 
 
 def gold_by(trips: DataFrame, grain: str, calendar: str = "part") -> DataFrame:
-    """The monthly, daily or hourly gold table straight from trips."""
-    return rollup(with_travel_time(trips), grain, fv.PICKUP, trip_measures(), calendar)
+    """The monthly, daily or hourly gold table straight from trips, in the order of time. Pooled slices are at
+    most 31 rows, sorted in one task; buckets are as many as the data has."""
+    slices = rollup(with_travel_time(trips), grain, fv.PICKUP, trip_measures(), calendar)
+    if calendar == "part":
+        return slices.coalesce(1).sortWithinPartitions(fv.TIME_SLICE)
+    return slices.orderBy(fv.TIME_SLICE)
 
 
 def gold_focus(trips: DataFrame, month: int) -> DataFrame:
     """The month/day/hour gold table of one month, straight from trips, in the order of time."""
     only = with_travel_time(trips.filter(F.month(fv.PICKUP) == month))
     parts = three_parts(fv.PICKUP)
-    return summarise(only, parts, trip_measures()).orderBy(*parts)
+    return summarise(only, parts, trip_measures()).coalesce(1).sortWithinPartitions(*parts)
 
 
 def trip_cells(trips: DataFrame) -> DataFrame:
@@ -166,12 +181,12 @@ def gold_by_from_cells(cells: DataFrame, grain: str) -> DataFrame:
     key = {"month": fv.MONTH_SLICE, "day": fv.DAY_SLICE, "hour": fv.HOUR_SLICE}[check_grain(grain)]
     measures = trip_measures()
     merged = merge_parts(cells, {fv.TIME_SLICE: key}, measures)
-    return finish(merged, [fv.TIME_SLICE], measures).orderBy(fv.TIME_SLICE)
+    return finish(merged, [fv.TIME_SLICE], measures).coalesce(1).sortWithinPartitions(fv.TIME_SLICE)
 
 
 def gold_focus_from_cells(cells: DataFrame, month: int) -> DataFrame:
     keys = [fv.MONTH_SLICE, fv.DAY_SLICE, fv.HOUR_SLICE]
-    return finish(cells.filter(F.col(fv.MONTH_SLICE) == month), keys, trip_measures()).orderBy(*keys)
+    return finish(cells.filter(F.col(fv.MONTH_SLICE) == month), keys, trip_measures()).coalesce(1).sortWithinPartitions(*keys)
 
 
 def hour_profile(focus: DataFrame, hour_mean: str = "mean_of_means") -> DataFrame:

@@ -99,7 +99,7 @@ def late_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     return (
         quality.apply_gates(published, in_window)
         .groupBy(
-            landing_drop.published_month().alias("file_month"), F.month(fv.PICKUP).alias("pickup_month")
+            F.month(landing_drop.published_in()).alias("file_month"), F.month(fv.PICKUP).alias("pickup_month")
         )
         .agg(F.count("*").alias("trips"))
         .withColumn("is_late", F.col("file_month") > F.col("pickup_month"))
@@ -141,9 +141,19 @@ def silver_as_worded(spark: SparkSession, folder: str) -> DataFrame:
     return silver(spark, folder, AS_WORDED)
 
 
+def silver_with_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips as their monthly files have them, and those of vendor 1 landed once more: by the rules as worded
+    each counts once, under the file that sorts first."""
+    published = trips(spark, folder).withColumn(
+        fv.FILE_NAME, F.date_format(landing_drop.published_in(), landing_drop.NAME_PATTERN)
+    )
+    again = published.filter(F.col("VendorID") == 1).withColumn(fv.FILE_NAME, F.lit("yellow_tripdata_again.parquet"))
+    return silver_rows(harmonize.stack([published, again]), AS_WORDED)
+
+
 def gold(grain: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return rollup.gold_by(silver(spark, folder), grain).orderBy(fv.TIME_SLICE)
+        return rollup.gold_by(silver(spark, folder), grain)
 
     return query
 
@@ -161,7 +171,13 @@ def gold_from_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold_daily_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup.gold_by(silver(spark, folder), "day", calendar="bucket").orderBy(fv.TIME_SLICE)
+    return rollup.gold_by(silver(spark, folder), "day", calendar="bucket")
+
+
+def gold_monthly_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each month among the rows as the roll-up gives them, which is that of time."""
+    rows = rollup.gold_by(silver(spark, folder), "month").select(fv.TIME_SLICE, "total_trips")
+    return rows.withColumn("place", F.monotonically_increasing_id() + 1)
 
 
 def gold_display(grain: str) -> Query:
@@ -207,7 +223,7 @@ def lineitem_tax_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Tax on discounts by month: values with six decimals."""
     cents = " * ".join(f"bigint(rint({name} * 100))" for name in ("l_extendedprice", "l_discount", "l_tax"))
     taxed = table(spark, folder, "lineitem").selectExpr("l_shipdate", f"{cents} / 1e6D AS tax")
-    return rollup.rollup(taxed, "month", "l_shipdate", [Measure("tax")], count_name="total_lines")
+    return rollup.rollup(taxed, "month", "l_shipdate", [Measure("tax", decimals=6)], count_name="total_lines")
 
 
 # Comparison with the mean, and reports
@@ -300,17 +316,38 @@ def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
     return harmonize.schema_drift(landing.field_rows(landing.read_footers(spark, landing_folder(spark, folder))))
 
 
-def schema_drift_all_months(spark: SparkSession, folder: str) -> DataFrame:
-    files = landing_folder(spark, folder, whole=True)
-    return harmonize.schema_drift(landing.field_rows(landing.read_footers(spark, files)))
+def schema_common_types(spark: SparkSession, folder: str) -> DataFrame:
+    """The type that each drifted field of the landing folder widens to."""
+    footers = _stored_footers(spark, landing_folder(spark, folder))
+    types = harmonize.common_types(footers)
+    drifted = harmonize.schema_drift(landing.field_rows(footers)).select("field")
+    wide = spark.createDataFrame(list(types.items()), "field string, common_type string")
+    return drifted.join(F.broadcast(wide), "field")
 
 
-def harmonized_union(spark: SparkSession, folder: str) -> DataFrame:
-    return _harmonized(spark, landing_folder(spark, folder))
+def landing_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """A landing folder with damaged files and odd names: each entry, whether it was loaded, and its rows.
+    The files are read where their footers are dealt to."""
+    key = (spark.sparkContext.applicationId, folder, "damaged")
+    if key not in _landing_folders:
+        target = scratch_folder(spark, "damaged")
+        _landing_folders[key] = landing_drop.write_landing_drop(table(spark, folder, "lineitem"), target, damaged=True)
+    files = _landing_folders[key]
+    footers = _stored_footers(spark, files)
+    frames = landing.read_landing(spark, files, footers, most_listed=0)
+    loaded = harmonize.stack([harmonize.harmonize(rows) for rows in frames])
+    counts = loaded.groupBy(fv.FILE_NAME).agg(
+        F.lit("loaded").alias("state"), F.count("*").alias("trips"), F.sum("passenger_count").alias("passengers")
+    )
+    left_out = landing.unreadable_files(footers).select(fv.FILE_NAME).distinct()
+    none = F.lit(None).cast("bigint")
+    return counts.unionByName(
+        left_out.select(fv.FILE_NAME, F.lit("unreadable").alias("state"), none.alias("trips"), none.alias("passengers"))
+    )
 
 
-def harmonized_union_all_months(spark: SparkSession, folder: str) -> DataFrame:
-    return _harmonized(spark, landing_folder(spark, folder, whole=True))
+def harmonized_union(spark: SparkSession, folder: str) -> DataFrame:
+    return _harmonized(spark, landing_folder(spark, folder))
 
 
 def _harmonized(spark: SparkSession, files: str) -> DataFrame:
@@ -396,33 +433,63 @@ def zorder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return sources.read_table(spark, target, clustered.schema)
 
 
-# The whole run, over all months, or over six where the SQL of a query has only those. Inputs and layers
-# are written once per application and given folder.
+def zorder_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored trips laid out again by pickup time and amount together, columns of no small range."""
+    source, target = scratch_folder(spark, "stored"), scratch_folder(spark, "zordered")
+    rows = trips(spark, folder)
+    sinks.write_table(rows, source)
+    sinks.optimize_table(spark, source, [fv.PICKUP, "total_amount"], target=target)
+    return sources.read_table(spark, target, rows.schema)
+
+
+# The whole run. The landing folder and the layers are written once per application and version of the table.
 
-_landing_folders: dict[tuple[str, str, bool], str] = {}
-_runs: dict[tuple[str, str, bool], dict[str, DataFrame]] = {}
+_landing_folders: dict[tuple[str, str, str], str] = {}
+_stores: dict[tuple[str, str, str], str] = {}
 
 
-def landing_folder(spark: SparkSession, folder: str, whole: bool = False) -> str:
-    key = (spark.sparkContext.applicationId, folder, whole)
+def _version(spark: SparkSession, folder: str) -> str:
+    """A digest of the name, size and time of the files of ``lineitem``."""
+    return landing.listing_fingerprint(spark, f"{folder}/lineitem.parquet")
+
+
+def landing_folder(spark: SparkSession, folder: str) -> str:
+    key = (spark.sparkContext.applicationId, folder, _version(spark, folder))
     if key not in _landing_folders:
-        write = landing_drop.write_whole_landing_drop if whole else landing_drop.write_landing_drop
-        _landing_folders[key] = write(table(spark, folder, "lineitem"), scratch_folder(spark, "landing"))
+        target = scratch_folder(spark, "landing")
+        _landing_folders[key] = landing_drop.write_landing_drop(table(spark, folder, "lineitem"), target)
     return _landing_folders[key]
 
 
-def medallion_layer(name: str, whole: bool = True) -> Query:
+def medallion_layer(name: str) -> Query:
+    """A layer of the run over the landing folder. The store knows which stages are done, so the run goes on
+    where an earlier query of the application left it."""
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, folder, whole)
-        if key not in _runs:
-            files = landing_folder(spark, folder, whole)
-            _runs[key] = run_medallion(spark, files, scratch_folder(spark, "run"), AS_CODED)
-        layer = _runs[key][name]
+        files = landing_folder(spark, folder)
+        key = (spark.sparkContext.applicationId, folder, files)
+        store = _stores.setdefault(key, scratch_folder(spark, "run"))
+        layer = run_medallion(spark, files, store, AS_CODED)[name]
         return layer.drop(fv.AUDIT_TIME) if fv.AUDIT_TIME in layer.columns else layer
 
     return query
 
 
+def stored_gold_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The revenue report by its SQL file over the stored gold layer."""
+    args = {"gold": "strata_stored_gold"} | reports.REVENUE_ARGS
+    views = {"strata_stored_gold": medallion_layer("gold_monthly")(spark, folder)}
+    return sources.run_sql_file(spark, SQL_FOLDER / "monthly_revenue.sql", views, args)
+
+
+def resumed_from_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly gold layer by the rules as worded, from the bronze layer that an earlier run stored; the landing
+    folder is not read."""
+    medallion_layer("bronze")(spark, folder)
+    key = (spark.sparkContext.applicationId, folder, landing_folder(spark, folder))
+    return run_medallion(spark, None, _stores[key], AS_WORDED)["gold_monthly"].drop(fv.AUDIT_TIME)
+
+
 def queries() -> dict[str, Query]:
     gate_names = [
         "passenger", "fare", "total", "total_covers_fare", "distance", "rate_code", "pickup_zone",
@@ -439,9 +506,11 @@ def queries() -> dict[str, Query]:
         "dedup_counts": dedup_counts,
         "silver_trips": silver_trips,
         "silver_as_worded": silver_as_worded,
+        "silver_with_lineage": silver_with_lineage,
         "gold_monthly": gold("month"),
         "gold_daily": gold("day"),
         "gold_hourly": gold("hour"),
+        "gold_monthly_places": gold_monthly_places,
         "gold_month_focus": gold_month_focus,
         "gold_from_cells": gold_from_cells,
         "gold_daily_buckets": gold_daily_buckets,
@@ -477,19 +546,19 @@ def queries() -> dict[str, Query]:
         "cluster_roundtrip": cluster_roundtrip,
         "cluster_range_scan": cluster_range_scan,
         "zorder_roundtrip": zorder_roundtrip,
-        "schema_drift_all_months": schema_drift_all_months,
-        "harmonized_union_all_months": harmonized_union_all_months,
-        "medallion_bronze": medallion_layer("bronze", whole=False),
-        "medallion_bronze_all_months": medallion_layer("bronze"),
-        "medallion_cast_losses": medallion_layer("cast_losses", whole=False),
-        "medallion_cast_losses_all_months": medallion_layer("cast_losses"),
+        "zorder_stored": zorder_stored,
+        "schema_common_types": schema_common_types,
+        "landing_unreadable": landing_unreadable,
+        "medallion_bronze": medallion_layer("bronze"),
+        "medallion_cast_losses": medallion_layer("cast_losses"),
         "medallion_silver": medallion_layer("silver"),
-        "medallion_ladder": medallion_layer("quality_ladder", whole=False),
-        "medallion_ladder_all_months": medallion_layer("quality_ladder"),
+        "medallion_ladder": medallion_layer("quality_ladder"),
         "medallion_gold_monthly": medallion_layer("gold_monthly"),
         "medallion_gold_daily": medallion_layer("gold_daily"),
         "medallion_gold_hourly": medallion_layer("gold_hourly"),
         "medallion_gold_focus": medallion_layer("gold_focus"),
         "medallion_monthly_revenue": medallion_layer("report_monthly_revenue"),
         "medallion_hourly_density": medallion_layer("report_hourly_density"),
+        "stored_gold_report": stored_gold_report,
+        "resumed_from_bronze": resumed_from_bronze,
     }

@@ -1,18 +1,19 @@
-"""Landing folders of monthly files made from the trip-shaped view, with the schema drift that the
-harmonisation has to repair. They stand in for downloaded files: one holds every month of the view, the
-other six months."""
+"""A landing folder of monthly files made from the trip-shaped view, with the schema drift that the
+harmonisation has to repair, and one in which some files are damaged. They stand in for downloaded files and hold
+every trip of the view."""
 
 from __future__ import annotations
 
-import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
-from strata.sources.trip_view import VIEW_FIRST_DAY, trip_view, trips_picked_up
+from strata.sources.trip_view import VIEW_FIRST_DAY, trip_view
 
-MONTHS = range(1, 7)
+NAME_PATTERN = "'yellow_tripdata_'yyyy-MM'.parquet'"
+ODD_NAME_PATTERN = "'trips ['yyyy-MM'] +copy.parquet'"
 
 
 def file_name(month: int, year: int = VIEW_FIRST_DAY.year) -> str:
@@ -24,13 +25,6 @@ def month_file(month: Column) -> Column:
     return F.element_at(F.array(*[F.lit(file_name(number)) for number in range(1, 13)]), month)
 
 
-def published_month() -> Column:
-    """Month of the file a trip is in: its pickup month, or for some trips the month after."""
-    month = F.month(fv.PICKUP)
-    late = F.when(F.col("PULocationID") % 13 == 0, month + 1).otherwise(month)
-    return F.least(late, F.lit(MONTHS[-1]))
-
-
 def as_published(trips: DataFrame, month: int) -> DataFrame:
     """The schema the file of a month has: the first has other number types, the second has no
     airport fee, the rest spell it with a capital."""
@@ -44,18 +38,6 @@ def as_published(trips: DataFrame, month: int) -> DataFrame:
     return trips.withColumnRenamed("airport_fee", "Airport_fee")
 
 
-def write_landing_drop(lineitem: DataFrame, folder: str) -> str:
-    """Write the six monthly entries. A file holds at most two months of pickups, so each job reads
-    that range of ``lineitem``."""
-    year = VIEW_FIRST_DAY.year
-    for month in MONTHS:
-        first = dt.date(year, max(month - 1, 1), 1)
-        trips = trips_picked_up(lineitem, first, dt.date(year, month + 1, 1))
-        published = trips.filter(published_month() == month)
-        as_published(published, month).write.parquet(f"{folder}/{file_name(month)}")
-    return folder
-
-
 def published_in() -> Column:
     """First day of the month of the file a trip is in: of its pickup month, or for some trips of the
     month after. December's late trips are in the next year's first file."""
@@ -63,33 +45,49 @@ def published_in() -> Column:
     return F.add_months(F.trunc(fv.PICKUP, "month"), late)
 
 
-def write_whole_landing_drop(lineitem: DataFrame, folder: str) -> str:
+def write_landing_drop(lineitem: DataFrame, folder: str, damaged: bool = False) -> str:
     """Write the entries of all months that the view has trips in, one job per schema variant. Each
     year's January and February files drift as those of ``as_published`` do. A trip without a pickup
     time has no month and is in no file.
 
+    With ``damaged`` the names hold blanks, brackets and plus signs, and the files of every May and October are
+    lines of text under the name of a Parquet file.
+
     A month's rows are brought together first, so the number of part files follows the data; adaptive
     execution splits a large month.
     """
     spark = lineitem.sparkSession
-    trips = trip_view(lineitem).withColumn("published", published_in())
-    named = trips.withColumn(fv.FILE_NAME, F.date_format("published", "'yellow_tripdata_'yyyy-MM'.parquet'"))
+    trips = trip_view(lineitem).withColumn("published", published_in()).filter("published IS NOT NULL")
+    pattern = ODD_NAME_PATTERN if damaged else NAME_PATTERN
+    named = trips.withColumn(fv.FILE_NAME, F.date_format("published", pattern))
     calendar_month = F.month("published")
-    variants = {1: calendar_month == 1, 2: calendar_month == 2, 3: calendar_month > 2}
+    is_text = calendar_month.isin(5, 10) if damaged else F.lit(False)
+    variants = {1: calendar_month == 1, 2: calendar_month == 2, 3: (calendar_month > 2) & ~is_text}
     for month, chosen in variants.items():
         rows = as_published(named.filter(chosen).drop("published"), month).hint("rebalance", fv.FILE_NAME)
         staged = f"{folder}-staged/{month}"
         rows.write.partitionBy(fv.FILE_NAME).parquet(staged)
         _publish(spark, staged, folder)
+    if damaged:
+        lines = named.filter(is_text).select(fv.FILE_NAME, F.to_csv(F.struct(fv.PICKUP, "total_amount")))
+        lines.write.partitionBy(fv.FILE_NAME).text(f"{folder}-staged/text")
+        _publish(spark, f"{folder}-staged/text", folder, ".txt")
     return folder
 
 
-def _publish(spark: SparkSession, staged: str, folder: str) -> None:
-    """Move the entries to the landing folder under their own names, without the key Spark puts before."""
+def _publish(spark: SparkSession, staged: str, folder: str, ending: str = "") -> None:
+    """Move the entries to the landing folder under their own names, without the key Spark puts before. Part
+    files with ``ending`` get that of Parquet files."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path(folder))
     for entry in files.listStatus(path(staged)):
-        key, _, name = entry.getPath().getName().partition("=")
-        if key == fv.FILE_NAME and not files.rename(entry.getPath(), path(folder, name)):
+        key, _, name = unquote(entry.getPath().getName()).partition("=")
+        if key != fv.FILE_NAME:
+            continue
+        if not files.rename(entry.getPath(), path(folder, name)):
             raise OSError(f"{name} cannot be moved to {folder}")
+        for part in files.listStatus(path(folder, name)) if ending else []:
+            plain = part.getPath().getName()
+            if plain.endswith(ending):
+                files.rename(part.getPath(), path(path(folder, name), plain.removesuffix(ending) + ".parquet"))

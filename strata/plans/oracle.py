@@ -38,6 +38,12 @@ trips AS (
   FROM k)
 """
 
+TRIP_COLUMNS = (
+    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance", "RatecodeID",
+    "PULocationID", "DOLocationID", "fare_amount", "tip_amount", "total_amount", "congestion_surcharge",
+    "improvement_surcharge", "airport_fee",
+)
+
 # Gate predicates, by name and in order.
 GATES = {
     "passenger": "passenger_count > 0",
@@ -56,10 +62,17 @@ GATES = {
 }
 ALL_GATES = " AND ".join(f"({predicate})" for predicate in GATES.values())
 
-SILVER = f"{TRIPS}, silver AS (SELECT DISTINCT * FROM trips WHERE {ALL_GATES})"
-
 SECONDS = "date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime)"
 
+# The gates as worded.
+WORDED_GATES = " AND ".join(
+    f"({predicate})" for name, predicate in GATES.items() if name not in ("duration", "pickup_window")
+) + (
+    f" AND {SECONDS} <= 86400 AND tpep_pickup_datetime >= TIMESTAMP '1997-01-01'"
+    " AND tpep_pickup_datetime < TIMESTAMP '1997-06-01'"
+)
+
+SILVER = f"{TRIPS}, silver AS (SELECT DISTINCT * FROM trips WHERE {ALL_GATES})"
 
 def money(column: str, total: str) -> str:
     exact = f"CAST(SUM(CAST({column} AS DECIMAL(16,4))) AS DOUBLE)"
@@ -138,23 +151,8 @@ SELECT * REPLACE (CASE WHEN VendorID = 2 THEN airport_fee END AS airport_fee),
 FROM trips
 """
 
-# Trips as the six monthly files publish them: some a month late, none outside January to June 1997,
-# and no airport fee in the second file.
+# Trips as the monthly files publish them: some a month late, and no airport fee in February's files.
 PUBLISHED = """
-dated AS (
-  SELECT *, LEAST(month(tpep_pickup_datetime) + CASE WHEN PULocationID % 13 = 0 THEN 1 ELSE 0 END, 6) AS file_month
-  FROM trips
-  WHERE tpep_pickup_datetime >= TIMESTAMP '1997-01-01' AND tpep_pickup_datetime < TIMESTAMP '1997-07-01'),
-published AS (
-  SELECT * EXCLUDE (file_month) REPLACE (CASE WHEN file_month = 2 THEN NULL ELSE airport_fee END AS airport_fee),
-         'yellow_tripdata_1997-0' || file_month || '.parquet' AS FILE_NAME
-  FROM dated)
-"""
-
-RUN = f"{TRIPS}, {PUBLISHED}, silver AS (SELECT DISTINCT * FROM published WHERE {ALL_GATES})"
-
-# The same for every month the trips have: late trips of December are in the next year's first file.
-PUBLISHED_ALL = """
 dated AS (
   SELECT *, date_trunc('month', tpep_pickup_datetime)
             + to_months(CASE WHEN PULocationID % 13 = 0 THEN 1 ELSE 0 END) AS file_month
@@ -165,7 +163,7 @@ published AS (
   FROM dated)
 """
 
-RUN_ALL = f"{TRIPS}, {PUBLISHED_ALL}, silver AS (SELECT DISTINCT * FROM published WHERE {ALL_GATES})"
+RUN = f"{TRIPS}, {PUBLISHED}, silver AS (SELECT DISTINCT * FROM published WHERE {ALL_GATES})"
 
 
 def _ladder(rows: str, last_step: str = "") -> str:
@@ -184,6 +182,45 @@ def _ladder(rows: str, last_step: str = "") -> str:
     return " UNION ALL ".join(steps) + last_step
 
 
+def _field_types() -> str:
+    """file, spelling and type of each field of each monthly file: the types of the view, but for the fields that
+    January's files have as others, February's lack and later ones spell otherwise."""
+    as_bigint, as_double = ("VendorID", "PULocationID", "DOLocationID"), ("passenger_count", "RatecodeID")
+    rows = []
+    for name in TRIP_COLUMNS:
+        own = f"(SELECT typeof(any_value({name})) FROM trips)"
+        january = "'BIGINT'" if name in as_bigint else "'DOUBLE'" if name in as_double else own
+        spelling = f"'{name}'"
+        if name == "airport_fee":
+            spelling = "CASE WHEN month = '01' THEN 'airport_fee' WHEN month != '02' THEN 'Airport_fee' END"
+        rows.append(f"SELECT FILE_NAME, {spelling} AS spelling, CASE WHEN month = '01' THEN {january} ELSE {own} END AS data_type FROM files")
+    return (
+        f"{TRIPS}, {PUBLISHED}, files AS (SELECT DISTINCT FILE_NAME, substr(FILE_NAME, -10, 2) AS month FROM published),"
+        f" typed AS (SELECT FILE_NAME, spelling, data_type FROM ({' UNION ALL '.join(rows)}) WHERE spelling IS NOT NULL)"
+    )
+
+
+def _drift() -> str:
+    return f"""
+        WITH {_field_types()}, named AS (SELECT *, {TYPE_NAMES} AS type_name FROM typed)
+        SELECT lower(spelling) AS field,
+               string_agg(DISTINCT type_name, '|' ORDER BY type_name) AS types,
+               string_agg(DISTINCT spelling, '|' ORDER BY spelling) AS spellings,
+               COUNT(DISTINCT FILE_NAME) AS files
+        FROM named GROUP BY 1
+        HAVING COUNT(DISTINCT type_name) > 1 OR COUNT(DISTINCT spelling) > 1"""
+
+
+def _common_types() -> str:
+    """The widest of a field's types, all of them numbers that the later one of this order holds or comes nearest to."""
+    return f"""
+        WITH {_field_types()}, wide AS (
+          SELECT lower(spelling) AS field, COUNT(DISTINCT data_type) > 1 OR COUNT(DISTINCT spelling) > 1 AS drifted,
+                 MAX(list_position(['INTEGER', 'BIGINT', 'DOUBLE'], data_type)) AS place
+          FROM typed GROUP BY 1)
+        SELECT field, ['int', 'bigint', 'double'][place] AS common_type FROM wide WHERE drifted"""
+
+
 def _stamped(table: str) -> str:
     return f"'{table}' AS FILE_NAME, 'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT"
 
@@ -250,12 +287,22 @@ def oracle_sql() -> dict[str, str]:
         "silver_as_worded": f"""
             WITH {TRIPS}
             SELECT DISTINCT * FROM trips
-            WHERE passenger_count > 0 AND fare_amount > 0 AND total_amount > 0
-              AND total_amount >= fare_amount AND trip_distance > 0 AND RatecodeID BETWEEN 1 AND 6
-              AND PULocationID BETWEEN 1 AND 263 AND DOLocationID BETWEEN 1 AND 263
-              AND tpep_pickup_datetime < tpep_dropoff_datetime AND {SECONDS} <= 86400
-              AND tpep_pickup_datetime >= TIMESTAMP '1997-01-01'
-              AND tpep_pickup_datetime < TIMESTAMP '1997-06-01'""",
+            WHERE {WORDED_GATES}""",
+        "silver_with_lineage": f"""
+            WITH {TRIPS}, {PUBLISHED}, whole AS (
+              SELECT trips.*, FILE_NAME FROM trips, (
+                SELECT PULocationID % 13 = 0 AS is_late, date_trunc('month', tpep_pickup_datetime) AS month,
+                       ANY_VALUE(FILE_NAME) AS FILE_NAME
+                FROM published GROUP BY ALL) AS names
+              WHERE names.is_late = (PULocationID % 13 = 0)
+                AND names.month = date_trunc('month', tpep_pickup_datetime)),
+            landed AS (
+              SELECT * FROM whole UNION ALL BY NAME
+              SELECT * REPLACE ('yellow_tripdata_again.parquet' AS FILE_NAME) FROM whole WHERE VendorID = 1)
+            SELECT * EXCLUDE (FILE_NAME), MIN(FILE_NAME) AS FILE_NAME FROM landed WHERE {WORDED_GATES} GROUP BY ALL""",
+        "gold_monthly_places": f"""
+            WITH {SILVER} SELECT TIME_SLICE, total_trips, row_number() OVER (ORDER BY TIME_SLICE) AS place
+            FROM ({MONTHLY})""",
         "gold_monthly": f"WITH {SILVER} {MONTHLY}",
         "gold_daily": f"WITH {SILVER} {DAILY}",
         "gold_hourly": f"WITH {SILVER} {HOURLY}",
@@ -358,29 +405,18 @@ def oracle_sql() -> dict[str, str]:
             LIMIT 10""",
         "schema_fields": f"WITH {FIELDS} SELECT * FROM fields",
         "schema_matrix": f"WITH {FIELDS} SELECT FILE_NAME AS File_Name, {matrix} FROM fields GROUP BY 1",
-        "schema_drift": """
-            SELECT * FROM (VALUES
-              ('vendorid', 'IntegerType()|LongType()', 'VendorID', CAST(6 AS BIGINT)),
-              ('pulocationid', 'IntegerType()|LongType()', 'PULocationID', 6),
-              ('dolocationid', 'IntegerType()|LongType()', 'DOLocationID', 6),
-              ('passenger_count', 'DoubleType()|LongType()', 'passenger_count', 6),
-              ('ratecodeid', 'DoubleType()|LongType()', 'RatecodeID', 6),
-              ('airport_fee', 'DoubleType()', 'Airport_fee|airport_fee', 5)) AS t(field, types, spellings, files)""",
         "harmonized_union": f"WITH {TRIPS}, {PUBLISHED} SELECT * FROM published",
-        "schema_drift_all_months": f"""
-            WITH {TRIPS}, {PUBLISHED_ALL}
-            SELECT field, types, spellings, COUNT(DISTINCT FILE_NAME) AS files
-            FROM published, (VALUES
-              ('vendorid', 'IntegerType()|LongType()', 'VendorID', ''),
-              ('pulocationid', 'IntegerType()|LongType()', 'PULocationID', ''),
-              ('dolocationid', 'IntegerType()|LongType()', 'DOLocationID', ''),
-              ('passenger_count', 'DoubleType()|LongType()', 'passenger_count', ''),
-              ('ratecodeid', 'DoubleType()|LongType()', 'RatecodeID', ''),
-              ('airport_fee', 'DoubleType()', 'Airport_fee|airport_fee', '-02.parquet'))
-              AS t(field, types, spellings, without)
-            WHERE without = '' OR NOT suffix(FILE_NAME, without)
-            GROUP BY ALL""",
-        "harmonized_union_all_months": f"WITH {TRIPS}, {PUBLISHED_ALL} SELECT * FROM published",
+        "schema_drift": _drift(),
+        "schema_common_types": _common_types(),
+        "landing_unreadable": f"""
+            WITH {TRIPS}, {PUBLISHED}, named AS (
+              SELECT *, 'trips [' || substr(FILE_NAME, -15, 7) || '] +copy.parquet' AS odd_name,
+                     substr(FILE_NAME, -10, 2) IN ('05', '10') AS is_text
+              FROM published)
+            SELECT odd_name AS FILE_NAME, CASE WHEN is_text THEN 'unreadable' ELSE 'loaded' END AS state,
+                   CASE WHEN NOT is_text THEN COUNT(*) END AS trips,
+                   CASE WHEN NOT is_text THEN CAST(SUM(passenger_count) AS BIGINT) END AS passengers
+            FROM named GROUP BY odd_name, is_text""",
         "cast_losses": f"""
             WITH {TRIPS}, named AS (
               SELECT *, 'yellow_tripdata_1997-' || lpad(CAST(month(tpep_pickup_datetime) AS VARCHAR), 2, '0')
@@ -400,6 +436,7 @@ def oracle_sql() -> dict[str, str]:
             WITH {TRIPS} SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE FROM trips
             WHERE tpep_pickup_datetime >= TIMESTAMP '1997-01-01'
               AND tpep_pickup_datetime < TIMESTAMP '1997-06-01'""",
+        "zorder_stored": f"WITH {TRIPS} SELECT * FROM trips",
         "zorder_roundtrip": f"""
             WITH {TRIPS}
             SELECT *, CAST(day(tpep_pickup_datetime) AS INT) AS DAY_SLICE,
@@ -413,18 +450,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT FILE_NAME, FIELD_NAME, CAST(0 AS BIGINT) AS values_lost, CAST(0 AS BIGINT) AS fractions_cut
             FROM published, (VALUES ('VendorID'), ('passenger_count'), ('RatecodeID'), ('PULocationID'),
                                     ('DOLocationID')) AS repaired(FIELD_NAME)""",
-        "medallion_bronze_all_months": f"""
-            WITH {TRIPS}, {PUBLISHED_ALL}
-            SELECT *, 'spark_medallion' AS AUD_ING_SYSTEM, 'run_medallion' AS AUD_ING_SCRIPT FROM published""",
-        "medallion_cast_losses_all_months": f"""
-            WITH {TRIPS}, {PUBLISHED_ALL}
-            SELECT DISTINCT FILE_NAME, FIELD_NAME, CAST(0 AS BIGINT) AS values_lost, CAST(0 AS BIGINT) AS fractions_cut
-            FROM published, (VALUES ('VendorID'), ('passenger_count'), ('RatecodeID'), ('PULocationID'),
-                                    ('DOLocationID')) AS repaired(FIELD_NAME)""",
-        "medallion_ladder_all_months": f"WITH {RUN_ALL} " + _ladder("published", """
-            UNION ALL SELECT CAST(12 AS INT), 'duplicates', COUNT(*),
-              COUNT(*) - (SELECT COUNT(*) FROM silver), 0, (SELECT COUNT(*) FROM silver)
-            FROM published WHERE """ + ALL_GATES),
         "medallion_silver": f"""
             WITH {RUN}
             SELECT *, CAST(tpep_pickup_datetime AS DATE) AS PICKUP_DATE,
@@ -439,5 +464,9 @@ def oracle_sql() -> dict[str, str]:
         "medallion_gold_hourly": f"WITH {RUN} SELECT *, {_stamped('gold_hourly')} FROM ({HOURLY})",
         "medallion_gold_focus": f"WITH {RUN} SELECT *, {_stamped('gold_focus')} FROM ({FOCUS})",
         "medallion_monthly_revenue": f"WITH {RUN}, monthly AS ({MONTHLY}) {REVENUE}",
+        "stored_gold_report": f"WITH {RUN}, monthly AS ({MONTHLY}) {REVENUE}",
+        "resumed_from_bronze": f"""
+            WITH {TRIPS}, {PUBLISHED}, silver AS (SELECT DISTINCT * FROM published WHERE {WORDED_GATES})
+            SELECT *, {_stamped('gold_monthly')} FROM ({MONTHLY})""",
         "medallion_hourly_density": f"WITH {RUN}, focus AS ({FOCUS}), hours AS ({MEAN_OF_MEANS}) {DENSITY}",
     }

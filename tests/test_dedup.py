@@ -45,3 +45,20 @@ def test_a_hot_row_leaves_each_task_once(spark):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     # a partial aggregate below the shuffle, a final one above it
     assert plan.count("HashAggregate") >= 2 and plan.count("Exchange") >= 1
+
+
+def test_business_duplicates_need_no_sort(spark, tmp_path):
+    rows = spark.createDataFrame([(k % 50, f"file-{k % 7}", f"s{k % 3}") for k in range(2000)], "k int, FILE_NAME string, AUD_ING_SYSTEM string")
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    kept = dedup.drop_business_duplicates(stored)
+    assert "Sort" not in kept._jdf.queryExecution().executedPlan().toString()
+    listed, sorted_out = (sorted(map(tuple, dedup.drop_business_duplicates(stored, most_listed=most).collect())) for most in (100, 3))
+    assert listed == sorted_out and len(listed) == 50
+
+
+def test_a_null_lineage_comes_first(spark):
+    rows = spark.createDataFrame([(1, "b", "s"), (1, None, "s"), (2, "a", None), (2, "a", "s")], "k int, FILE_NAME string, AUD_ING_SYSTEM string")
+    for most in (100, 1):
+        found = dedup.drop_business_duplicates(rows, most_listed=most).collect()
+        assert sorted(map(tuple, found)) == [(1, None, "s"), (2, "a", None)]

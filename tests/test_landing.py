@@ -182,3 +182,89 @@ def test_tasks_need_no_copy_of_the_package(tmp_path):
     code = "import pickle, sys; pickle.load(open('task', 'rb')); assert 'strata' not in sys.modules"
     environment = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, check=True)
+
+
+ODD_NAMES = ("blank name.parquet", "[2023] +100%.parquet", "{a,b}*?.parquet", "ünïcode.parquet")
+
+
+@pytest.mark.parametrize("most_listed", [1000, 0])
+def test_files_with_odd_names_load(spark, tmp_path, most_listed):
+    for k, name in enumerate(ODD_NAMES):
+        kind = [pa.int32(), pa.int64(), pa.float64(), pa.int32()][k]
+        pq.write_table(pa.table({"k": pa.array([k, k + 10], kind)}), tmp_path / name)
+    footers = landing.read_footers(spark, str(tmp_path)).cache()
+    assert {row.FILE_NAME for row in footers.collect()} == set(ODD_NAMES)
+    frames = landing.read_landing(spark, str(tmp_path), footers, most_listed)
+    found = {(row.FILE_NAME, int(row.k)) for frame in frames for row in frame.collect()}
+    assert found == {(name, k + more) for k, name in enumerate(ODD_NAMES) for more in (0, 10)}
+    assert len(frames) == 3
+
+
+def test_many_odd_files_put_no_path_into_the_plan(spark, tmp_path):
+    for k in range(60):
+        column = pa.array([k], [pa.int32(), pa.int64()][k % 2])
+        pq.write_table(pa.table({"k": column}), tmp_path / f"file-{k}.parquet")
+    (tmp_path / "bad.parquet").write_text("no")
+    footers = landing.read_footers(spark, str(tmp_path)).cache()
+    named, dealt = (landing.read_landing(spark, str(tmp_path), footers, most) for most in (40, 5))
+
+    def plans(frames):
+        return "".join(frame._jdf.queryExecution().toString() for frame in frames)
+
+    assert len(named[1].inputFiles()) == 30 and "file-" not in plans(dealt)
+    for frames in (named, dealt):
+        assert sorted(int(row.k) for frame in frames for row in frame.collect()) == list(range(60))
+
+
+def test_executors_read_the_types_that_spark_reads(spark, tmp_path):
+    frame = pd.DataFrame({"t": pd.to_datetime(["2023-01-01 10:00"])})
+    pq.write_table(pa.Table.from_pandas(frame), tmp_path / "int96.parquet", use_deprecated_int96_timestamps=True)
+    unsigned = {f"u{bits}": pa.array([1, None, 2], getattr(pa, f"uint{bits}")()) for bits in (8, 16, 32, 64)}
+    unsigned["nested"] = pa.array([{"x": 1, "y": [1]}, None, {"x": 2, "y": []}], pa.struct([("x", pa.uint16()), ("y", pa.list_(pa.uint8()))]))
+    pq.write_table(pa.table(unsigned), tmp_path / "unsigned.parquet", row_group_size=2)
+    spark.sql(
+        "SELECT date '2023-01-01' AS d, 1.5BD AS m, array(1.0f) AS a, timestamp '2023-01-01' AS t, true AS b, "
+        "named_struct('x', 1) AS s, binary('x') AS y, timestamp_ntz '2023-01-01' AS n, map('k', 1) AS mm"
+    ).coalesce(1).write.parquet(f"{tmp_path}/spark.parquet")
+    footers = landing.read_footers(spark, str(tmp_path)).cache()
+    dealt = landing.read_landing(spark, str(tmp_path), footers, most_listed=0)
+    for frame in dealt:
+        name = frame.first().FILE_NAME
+        read = spark.read.parquet(f"{tmp_path}/{name}")
+        assert [(f.name, f.dataType) for f in read.schema] == [(f.name, f.dataType) for f in frame.schema][:-1]
+        assert sorted(map(str, read.collect())) == sorted(str(row) for row in frame.drop("FILE_NAME").collect())
+    assert len(dealt) == 3
+
+
+def test_types_spark_has_none_for_are_listed(spark, tmp_path):
+    pq.write_table(pa.table({"t": pa.array([1], pa.time64("us")), "k": [1]}), tmp_path / "time.parquet")
+    pq.write_table(pa.table({"k": [1]}), tmp_path / "fine.parquet")
+    footers = landing.read_footers(spark, str(tmp_path)).cache()
+    assert [(row.FILE_NAME, "time of day" in row.error) for row in landing.unreadable_files(footers).collect()] == [("time.parquet", True)]
+    assert sum(rows.count() for rows in landing.read_landing(spark, str(tmp_path), footers)) == 1
+
+
+def test_part_files_that_disagree_show_all_their_types(spark, tmp_path):
+    (tmp_path / "month.parquet").mkdir()
+    for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64())):
+        pq.write_table(pa.table({"k": pa.array([k], kind)}), tmp_path / "month.parquet" / f"part-{k}.parquet")
+    fields = landing.field_rows(landing.read_footers(spark, str(tmp_path)))
+    assert fields.count() == 2
+    assert harmonize.schema_matrix(fields).first().k == "IntegerType()|LongType()"
+
+
+def test_common_types(spark, tmp_path):
+    kinds = [(pa.int32(), pa.string()), (pa.uint32(), pa.int32()), (pa.float64(), pa.string())]
+    for k, (one, other) in enumerate(kinds):
+        columns = {"a": pa.array([1], one), "B": pa.array(["1"]).cast(other), "c": pa.array([1], pa.int32() if k else pa.uint64())}
+        pq.write_table(pa.table(columns), tmp_path / f"{k}.parquet")
+    footers = landing.read_footers(spark, str(tmp_path))
+    assert harmonize.common_types(footers) == {"a": "double", "b": "bigint", "c": "decimal(20,0)"}
+
+
+def test_a_listing_shows_changes(spark, tmp_path):
+    pq.write_table(pa.table({"k": [1]}), tmp_path / "a.parquet")
+    first = landing.listing_fingerprint(spark, str(tmp_path))
+    assert landing.listing_fingerprint(spark, str(tmp_path)) == first
+    pq.write_table(pa.table({"k": [1, 2]}), tmp_path / "b.parquet")
+    assert landing.listing_fingerprint(spark, str(tmp_path)) != first

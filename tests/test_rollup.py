@@ -86,6 +86,15 @@ def test_sums_of_any_size_are_kept(spark, values):
     assert row.avg_x == pytest.approx(expected / len(values), rel=1e-14)
 
 
+def test_large_and_small_values_have_one_total_in_any_order(spark):
+    values = [1e16, -1e16, 9e15 + 2, 3.5e17] * 5 + [-3.5e17, -9e15 - 2] * 5 + [0.3, 1.1e-12, 0.0000123] * 40
+    expected = float(sum(Decimal(repr(value)) for value in values))
+    for order in (values, sorted(values), sorted(values, key=abs), values[::-1]):
+        rows = spark.createDataFrame([(value,) for value in order], "x double")
+        for parts in (1, 5):
+            assert rollup.summarise(rows.repartition(parts), {"k": "1"}, [Measure("x")]).first().total_x == expected
+
+
 @pytest.mark.parametrize(
     "values, check",
     [

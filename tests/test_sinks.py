@@ -5,6 +5,7 @@ import pyarrow.parquet as pq
 import pytest
 from pathlib import Path
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from strata import fixed_values as fv
 from strata.functions.calendar import three_parts
@@ -179,3 +180,99 @@ def test_a_range_of_days_skips_the_files_of_other_days(spark, view):
     sinks.write_table(sinks.zorder_rows(keyed, [fv.DAY_SLICE, fv.HOUR_SLICE], 5, files=16), target)
     for condition in ("DAY_SLICE = 15", "HOUR_SLICE = 12"):
         assert rows_read(read_table(spark, target).filter(condition)) <= view.count() * 0.7
+
+
+def test_a_fault_between_write_and_swap_leaves_the_old_rows(spark, monkeypatch):
+    sinks.write_table(spark.range(5), "swapped")
+
+    def fault(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "point_table", fault)
+        with pytest.raises(OSError):
+            sinks.write_table(spark.range(7).selectExpr("id", "id AS more"), "swapped")
+    assert spark.table("swapped").count() == 5
+
+
+@pytest.mark.parametrize("columns", [["id"], ["id", "'x' AS more"]])
+def test_a_fault_inside_the_swap_is_made_good(spark, monkeypatch, columns):
+    sinks.write_table(spark.range(5), "halfway")
+    with monkeypatch.context() as patch:
+        def fault(*_, **__):
+            raise OSError("lost")
+
+        patch.setattr(type(spark.catalog), "createTable", fault)
+        patch.setattr(sinks, "restore_table", fault)
+        if len(columns) > 1:
+            with pytest.raises(OSError):
+                sinks.point_table(spark, "halfway", "/nowhere", spark.range(1).selectExpr(*columns).schema)
+            assert not spark.catalog.tableExists("halfway")
+    sinks.restore_table(spark, "halfway")
+    assert spark.table("halfway").count() == 5
+    sinks.write_table(spark.range(3).selectExpr(*columns), "halfway")
+    assert spark.table("halfway").count() == 3 and not spark.catalog.tableExists("halfway__replaced")
+
+
+def test_replaced_versions_stay_until_cleared(spark):
+    for n in (3, 4):
+        sinks.write_table(spark.range(n), "versions")
+    sinks.write_table(spark.range(5).selectExpr("id", "id * 2 AS twice"), "versions")
+    folders = sinks.replaced_folders(spark, "versions")
+    assert [spark.read.parquet(folder).count() for folder in folders] == [3, 4]
+    assert sinks.clear_replaced(spark, "versions") == folders
+    assert not any(Path(folder.removeprefix("file:")).exists() for folder in folders)
+    assert spark.table("versions").count() == 5 and sinks.replaced_folders(spark, "versions") == []
+
+
+def test_a_managed_table_is_not_replaced(spark):
+    spark.range(4).write.saveAsTable("managed")
+    with pytest.raises(ValueError, match="managed"):
+        sinks.write_table(spark.range(2), "managed")
+    assert spark.table("managed").count() == 4
+
+
+def test_a_refused_append_changes_nothing(spark):
+    sinks.write_table(spark.createDataFrame([(1,)], "a bigint"), "strict")
+    with pytest.raises(ValueError, match="a is double"):
+        sinks.append_widening(spark.createDataFrame([(2.75, "x")], "a double, b string"), "strict")
+    assert spark.table("strict").columns == ["a"] and spark.table("strict").count() == 1
+
+
+def test_a_repeated_batch_is_appended_once(spark):
+    sinks.write_table(spark.createDataFrame([(1,)], "a bigint"), "batches")
+    rows = spark.createDataFrame([(2, "x"), (3, "y")], "a bigint, b string")
+    assert sinks.append_widening(rows, "batches", "2023-01") is True
+    assert sinks.append_widening(rows, "batches", "2023-01") is False
+    assert sinks.append_widening(rows, "batches", "2023-02") is True
+    found = [tuple(row) for row in spark.table("batches").collect()]
+    assert sorted(found, key=str) == [(1, None, None), *[(a, b, f"2023-0{n}") for a, b in ((2, "x"), (3, "y")) for n in (1, 2)]]
+
+
+def test_stored_layers_are_zordered_on_columns_of_any_type(spark, view):
+    source, target = scratch_folder(spark, "source"), scratch_folder(spark, "ranked")
+    rows = view.withColumn("zone", F.concat(F.lit("zone-"), F.lpad(F.col("PULocationID").cast("string"), 3, "0")))
+    sinks.write_table(rows, source)
+    sinks.optimize_table(spark, source, ["total_amount", "zone"], files=16, target=target)
+    stored = read_table(spark, target)
+    assert stored.columns == rows.columns
+    assert stored.exceptAll(rows).count() == 0 == rows.exceptAll(stored).count()
+    for column, value in (("total_amount", 30_000.0), ("zone", "zone-100")):
+        found = ranges(target, column)
+        assert sum(1 for low, high in found if low <= value <= high) <= 9 < len(found)
+    assert rows_read(stored.filter("total_amount BETWEEN 30000 AND 30500")) <= view.count() * 0.6
+    assert rows_read(stored.filter("zone = 'zone-100'")) <= view.count() * 0.6
+
+
+def test_ranks_divide_skewed_values_evenly(spark):
+    rows = spark.range(4000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE pow(2, id % 40) END AS d", "make_date(2000 + int(id % 30), 1, 1) AS day",
+        "timestamp_seconds(id * id) AS t", "id % 2 = 0 AS b", "concat('é', id % 700) AS s", "cast(id AS decimal(10,2)) AS m",
+    )
+    ranked = rows.withColumns({f"r_{name}": rank for name, rank in sinks.ranked_columns(rows, rows.columns, 4).items()})
+    for name in rows.columns:
+        kept = sorted(((row[name], row[f"r_{name}"]) for row in ranked.collect() if row[name] is not None))
+        assert [rank for _, rank in kept] == sorted(rank for _, rank in kept)
+        assert {rank for _, rank in kept} <= set(range(16))
+    assert {row.r_d for row in ranked.filter("d IS NULL").collect()} == {0}
+    assert max(row["count"] for row in ranked.groupBy("r_t").count().collect()) < 4000 / 8
