@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import tempfile
 import types
@@ -26,10 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def staged(rows: DataFrame, name: str) -> DataFrame:
+def staged(rows: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows, written below the shared folder and read again: later work restarts from there."""
     target = scratch_folder(rows.sparkSession, name)
-    rows.write.parquet(target)
+    rows.write.parquet(target, compression=compression)
     return rows.sparkSession.read.schema(rows.schema).parquet(target)
 
 
@@ -52,6 +53,32 @@ def worker_memo() -> dict:
     return sys.modules.setdefault("strata_worker_memo", types.ModuleType("strata_worker_memo")).__dict__
 
 
+def release_memory() -> None:
+    """Give what this process has freed back to the system; its allocators would keep it for later."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a partition sorted by ``key``, cut so that no group is divided."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        if held and held[-1].column(key)[-1].as_py() == keys[0] and keys[0] == keys[-1]:
+            held.append(batch)
+            continue
+        start = int(np.searchsorted(keys, keys[-1]))
+        yield from pa.Table.from_batches([*held, batch.slice(0, start)]).combine_chunks().to_batches()
+        held = [batch.slice(start)]
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def crc_remainder(column: str, parts: int) -> Column:
     """crc32 of the number as text, modulo ``parts``; a null counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % F.lit(parts)

@@ -12,8 +12,9 @@ coded, packed into one number, counted per block of documents and summed over al
 more symbols that end in the same two lie in one group, whose size the number of symbols bounds; the two
 shortest orders are one small table (at most 256 * 257 rows). Each group gives the probabilities of its
 grams, and the grams a block needs go back to it by a join. Words, as 64-bit hashes, and their counts take the same way.
-Documents are dealt into blocks of about ``BLOCK_BYTES`` by hash. What is gathered, shuffled and looked up
-grows with the input.
+Documents are cut into blocks of ``BLOCK_BYTES`` (a longer document is a block of its own) in the order a task reads
+them, so repeated rows are in many blocks; a block is counted and written with its number before the task begins the next.
+What is gathered, shuffled and looked up grows with the input.
 
 Defined results: a null or empty text is the end symbol alone. Repeated rows are scored alike, and each
 of them counts in training. Without training documents every symbol is equally likely.
@@ -26,13 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import (
+    CHUNK_BYTES,
     LOWER,
     distinct,
+    release_memory,
     ship_package,
+    sorted_groups,
     span_hashes,
     staged,
     text_buffers,
@@ -44,8 +49,12 @@ ORDER = 5
 SYMBOLS = 256
 END = 255  # no byte of UTF-8
 WIDTH = 8
-BLOCK_BYTES = 24 << 20
-_COUNTS = "block bigint, is_word boolean, key bigint, seen bigint"
+BLOCK_BYTES = 32 << 20
+# A row of a block is a key with its count, or some documents packed.
+_BLOCKS = "block bigint, is_word boolean, key bigint, seen bigint, documents binary"
+_BLOCK_TYPES = pa.schema(
+    [("block", pa.int64()), ("is_word", pa.bool_()), ("key", pa.int64()), ("seen", pa.int64()), ("documents", pa.binary())]
+)
 _LOOKUP = "key bigint, value double"
 _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 _SCORE_NAMES = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
@@ -76,6 +85,18 @@ def byte_rows(column: pa.Array) -> list[bytes]:
     return [whole[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
+def packed(rows: pa.RecordBatch) -> bytes:
+    """Rows as compressed bytes, which take a third of the room of texts in files and shuffles."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(documents: bytes | pa.Buffer) -> pa.Table:
+    return pa.ipc.open_stream(documents).read_all()
+
+
 class KeyCounts:
     """Sorted keys with counts. Added runs are merged once they are as long as what is there."""
 
@@ -105,32 +126,47 @@ def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, ends).view(np.int64), text
 
 
-def _counter(order: int):
-    """Grams and words per block with their number in training documents, which may be 0."""
+def _counter(order: int, block_bytes: int):
+    """Blocks of documents: their rows, and their grams and words with their number in training documents,
+    which may be 0."""
     lower = bytes(LOWER)
 
+    def with_nulls(rows: int, **columns: pa.Array) -> pa.RecordBatch:
+        filled = [columns[field.name].cast(field.type) if field.name in columns else pa.nulls(rows, field.type) for field in _BLOCK_TYPES]
+        return pa.RecordBatch.from_arrays(filled, schema=_BLOCK_TYPES)
+
+    def counts(block: int, sums: dict[bool, KeyCounts]) -> Iterator[pa.RecordBatch]:
+        for is_word, counted in sums.items():
+            keys, seen = counted.merged()
+            for start in range(0, len(keys), 1 << 16):
+                some = slice(start, start + (1 << 16))
+                rows = len(keys[some])
+                yield with_nulls(
+                    rows, block=pa.array(np.full(rows, block)), is_word=pa.array(np.full(rows, is_word)),
+                    key=pa.array(keys[some]), seen=pa.array(seen[some]),
+                )
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[int, bool], KeyCounts] = defaultdict(KeyCounts)
+        # Written once, so that a block is known by its task and its place in it.
+        block, held = TaskContext.get().partitionId() << 32, 0
+        sums: dict[bool, KeyCounts] = defaultdict(KeyCounts)
         for batch in batches:
-            block_of = batch.column("block").to_numpy()
             learn_of = ~np.asarray(batch.column("held_out").to_numpy(zero_copy_only=False), bool)
-            for first, last, _, _ in text_chunks(batch.column("text")):
-                texts = byte_rows(batch.column("text").slice(first, last - first))
-                for block in np.unique(block_of[first:last]).tolist():
-                    for learned in (True, False):
-                        own = (block_of[first:last] == block) & (learn_of[first:last] == learned)
-                        picked = [texts[i].translate(lower) for i in np.flatnonzero(own)]
-                        if picked:
-                            sums[block, False].add(grams(picked, order)[0], learned)
-                            sums[block, True].add(word_keys(picked)[0], learned)
-        for (block, is_word), counted in sums.items():
-            keys, counts = counted.merged()
-            columns = [
-                pa.array(np.full(len(keys), block)), pa.array(np.full(len(keys), is_word)), pa.array(keys), pa.array(counts),
-            ]
-            whole = pa.RecordBatch.from_arrays(columns, ["block", "is_word", "key", "seen"])
-            for start in range(0, len(keys), 1 << 16):
-                yield whole.slice(start, 1 << 16)
+            for first, last, data, _ in text_chunks(batch.column("text"), min(CHUNK_BYTES, block_bytes)):
+                if held and held + len(data) > block_bytes:
+                    yield from counts(block, sums)
+                    block, held, sums = block + 1, 0, defaultdict(KeyCounts)
+                held += len(data)
+                rows = batch.slice(first, last - first)
+                texts = byte_rows(rows.column("text"))
+                for learned in (True, False):
+                    picked = [texts[i].translate(lower) for i in np.flatnonzero(learn_of[first:last] == learned)]
+                    if picked:
+                        sums[False].add(grams(picked, order)[0], learned)
+                        sums[True].add(word_keys(picked)[0], learned)
+                yield with_nulls(1, block=pa.array([block]), documents=pa.array([packed(rows)], pa.binary()))
+        yield from counts(block, sums)
+        release_memory()
 
     return work
 
@@ -211,15 +247,11 @@ def log_probabilities(packed: np.ndarray, seen: np.ndarray, short: list, order:
 
 def _scorer_of_grams(order: int, short: list):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(batch.column("key").to_numpy(), batch.column("seen").to_numpy()) for batch in batches]
-        if not parts:
-            return
-        packed, seen = (np.concatenate(column) for column in zip(*parts))
-        scored = pa.RecordBatch.from_arrays(
-            [pa.array(packed), pa.array(log_probabilities(packed, seen, short, order))], ["key", "value"]
-        )
-        for start in range(0, len(packed), 1 << 16):
-            yield scored.slice(start, 1 << 16)
+        for rows in sorted_groups(batches, "ending"):
+            packed, seen = rows.column("key").to_numpy(), rows.column("seen").to_numpy()
+            values = log_probabilities(packed, seen, short, order)
+            yield pa.RecordBatch.from_arrays([rows.column("key"), pa.array(values)], ["key", "value"])
+        release_memory()
 
     return work
 
@@ -267,26 +299,27 @@ def _scorer_of_blocks(order: int, train_tokens: int, kinds: int, ends: int):
     lower = bytes(LOWER)
     whole = np.log10(train_tokens + kinds + 1)
 
-    def work(docs: pa.Table, lookup: pa.Table) -> pa.Table:
-        if not docs.num_rows:
-            return pa.table({name: [] for name in _SCORE_NAMES}).cast(_SCORE_TYPES)
+    def work(packs: pa.Table, lookup: pa.Table) -> pa.Table:
         is_word = lookup.column("is_word").to_numpy()
         keys, values = lookup.column("key").to_numpy(), lookup.column("value").to_numpy()
         of_gram, of_word = KeyTable(keys[~is_word], values[~is_word]), KeyTable(keys[is_word], values[is_word])
-        texts = docs.column("text").combine_chunks()
-        measures = []
-        for first, last, _, _ in text_chunks(texts):
-            chunk = [text.translate(lower) for text in byte_rows(texts.slice(first, last - first))]
-            packed, lengths = grams(chunk, order)
-            scores = np.add.reduceat(of_gram.get(packed), np.cumsum(lengths) - lengths)
+        parts = [_SCORE_TYPES.empty_table()]
+        for one in packs.column("documents"):
+            docs = unpacked(one.as_buffer())
+            chunk = [text.translate(lower) for text in byte_rows(docs.column("text"))]
+            symbols, lengths = grams(chunk, order)
+            scores = np.add.reduceat(of_gram.get(symbols), np.cumsum(lengths) - lengths)
             words, text = word_keys(chunk)
             counts = of_word.get(words) if len(words) else np.zeros(0)
             tokens = np.bincount(text, minlength=len(chunk)) + 1
             known = np.bincount(text, weights=counts > 0, minlength=len(chunk)) + (ends > 0)
             base = np.bincount(text, weights=np.log10(counts + 1), minlength=len(chunk)) + np.log10(ends + 1)
-            measures.append((tokens, known.astype(np.int64), base - tokens * whole, scores))
-        columns = [pa.array(np.concatenate(column)) for column in zip(*measures)]
-        return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), *columns], _SCORE_NAMES)
+            columns = [tokens, known.astype(np.int64), base - tokens * whole, scores]
+            parts.append(
+                pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), *map(pa.array, columns)], _SCORE_NAMES).cast(_SCORE_TYPES)
+            )
+        release_memory()
+        return pa.concat_tables(parts)
 
     return work
 
@@ -304,20 +337,17 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = size // block_bytes + 1
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
-    texts = texts.withColumn("block", block)
-
-    dealt = texts.repartition(int(min(blocks, 1 << 20)), "block")
-    counts = staged(dealt.mapInArrow(_counter(order), _COUNTS), "counts")
+    blocks = staged(texts.mapInArrow(_counter(order, block_bytes), _BLOCKS), "blocks", "zstd")
+    counts = blocks.filter("key IS NOT NULL").select("block", "is_word", "key", "seen")
     # Sums over all blocks: the trie's leaves, and the words.
     sums = staged(counts.groupBy("is_word", "key").agg(F.sum("seen").alias("seen")), "sums")
     trie, words = sums.filter("NOT is_word").select("key", "seen"), sums.filter("is_word").select("key", "seen")
 
     short = [_short_order(trie, length) for length in (0, 1)]
-    ending = F.shiftright("key", WIDTH).bitwiseAND(_low(2))
-    probabilities = trie.repartition(ending).mapInArrow(_scorer_of_grams(order, short), _LOOKUP)
+    # A task holds the grams of a few endings at a time.
+    ending = F.shiftright("key", WIDTH).bitwiseAND(_low(2)).alias("ending")
+    by_ending = trie.select(ending, "key", "seen").repartition("ending").sortWithinPartitions("ending")
+    probabilities = by_ending.mapInArrow(_scorer_of_grams(order, short), _LOOKUP)
     tokens, kinds = words.filter("seen > 0").agg(F.coalesce(F.sum("seen"), F.lit(0)), F.count("*")).first()
     ends = int(dict(zip(*map(np.ndarray.tolist, short[0]))).get(END, 0))
     tokens, kinds = tokens + ends, kinds + (ends > 0)
@@ -326,10 +356,11 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
         words.select(F.lit(True).alias("is_word"), "key", F.col("seen").cast("double").alias("value"))
     )
     lookup = counts.select("block", "is_word", "key").join(values, ["key", "is_word"])
-    lookup = lookup.select("block", "is_word", "key", "value")
+    lookup = lookup.select(F.col("block").alias("of_block"), "is_word", "key", "value")
+    documents = blocks.filter("documents IS NOT NULL").select("block", "documents")
     scored = (
-        texts.groupBy("block")
-        .cogroup(lookup.groupBy("block"))
+        documents.groupBy("block")
+        .cogroup(lookup.groupBy("of_block"))
         .applyInArrow(_scorer_of_blocks(order, tokens, kinds, ends), _SCORES)
     )
     return scored.withColumn("train_tokens", F.lit(tokens).cast("bigint"))
