@@ -7,9 +7,10 @@ hash of the set). The shingles of a set are hashed into groups, and the counts o
    its first n - ceil(0.8 n) + 1 ones, in any order of all shingles that is the same for both. Frequent
    shingles come last: each task counts what is frequent in it, and the ``FREQUENT`` most frequent are
    broadcast. The counts only choose an order; no link depends on them.
-2. The sets that share such a shingle are a bucket; buckets of the same sets are one. Each bucket is an R-tree of
-   points, joined with itself: pairs of boxes, then of points, whose summed coordinate minima cannot reach
-   the similarity are left out. A bucket gives a spanning part of the pairs that are left, and the components of
+2. The sets that share such a shingle are a bucket; buckets of the same sets are one. Sets have more groups the
+   larger they are (2^bits, with 2 to 4 shingles in each), and meet at the bits of the smaller: a bucket is divided
+   by bits. Each part is an R-tree of points, joined with itself: pairs of boxes, then of points, whose summed
+   coordinate minima cannot reach the similarity are left out. A bucket gives a spanning part of the pairs that are left, and the components of
    these are families of sets that are close by that bound. Large buckets are dealt into tiles, and each
    pair of tiles is a task of bounded size.
 3. A family's full sets are dealt into tiles by size. In each pair of tiles an R-tree with finer groups gives
@@ -30,18 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import mixed, ship_package, staged, text_chunks
+from strata.llm.common import mixed, ship_package, sorted_groups, staged, text_chunks
 from strata.llm.components import components
 from strata.llm.count_tree import CountTree, Links, count_vectors, may_link
 from strata.llm.minhash import class_sets, family_links, set_names, shingle_sets
 
-POINT_BITS = 6
-FINE_BITS = 8
+LEAST_BITS, MOST_BITS = 4, 14
 FREQUENT = 1 << 17
 TASK_FREQUENT = 1 << 14
 BUCKET_TILE = 1024
 FEW = 8
-_PROFILE = "doc_id bigint, n_shingles bigint, name string, node bigint, point binary, token bigint, seen bigint"
+_PROFILE = "doc_id bigint, n_shingles bigint, name string, node bigint, bits array<int>, point binary, token bigint, seen bigint"
 _POSTINGS = "token bigint, node bigint"
 _BUCKETS = "bucket bigint, node bigint"
 _EDGES = "a bigint, b bigint"
@@ -51,6 +51,39 @@ def nodes_of(names: list[str]) -> np.ndarray:
     return np.array([int(name[:16], 16) for name in names], np.uint64).view(np.int64)
 
 
+def bits_of(sizes: np.ndarray) -> np.ndarray:
+    """Bits of the group number for sets of these sizes, 1 and above."""
+    return np.clip(np.frexp(sizes)[1] - 2, LEAST_BITS, MOST_BITS)
+
+
+def folded(points: np.ndarray, bits: int) -> np.ndarray:
+    """Points brought to fewer groups: the groups that agree in their first bits are added."""
+    return points.reshape(len(points), 1 << bits, -1).sum(axis=2, dtype=np.int32)
+
+
+def written_point(point: np.ndarray) -> bytes:
+    """A point in bytes, or in four bytes a group where a count is above 255."""
+    return (point.astype(np.uint8) if point.max() < 256 else point).tobytes()
+
+
+def read_point(written: pa.Buffer, own_bits: int) -> np.ndarray:
+    return np.frombuffer(written, np.uint8 if len(written) == 1 << own_bits else np.int32)
+
+
+def points_of(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The point of each set at its own bits."""
+    sizes = np.diff(bounds)
+    points = [b""] * len(sizes)
+    bits = bits_of(sizes)
+    for each in np.unique(bits).tolist():
+        chosen = np.flatnonzero(bits == each)
+        members = np.repeat(bits == each, sizes)
+        own = np.concatenate([[0], np.cumsum(sizes[chosen])])
+        for i, point in zip(chosen.tolist(), count_vectors(shingles[members], own, each)):
+            points[i] = written_point(point)
+    return points
+
+
 class FrequentTokens:
     """The most frequent of the tokens added, with counts that may be too low: the rare ones are dropped
     whenever there are too many to keep."""
@@ -69,7 +102,7 @@ class FrequentTokens:
         self.tokens, self.counts = merged[kept], sums[kept]
 
 
-def _profiles(words: int):
+def _profiles(words: int, percent: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in _PROFILE.split(", ")]
         frequent, waiting, held = FrequentTokens(TASK_FREQUENT), [], 0
@@ -82,12 +115,15 @@ def _profiles(words: int):
                     frequent.add(np.concatenate(waiting))
                     waiting, held = [], 0
                 own = set_names(shingles, bounds)
-                points = count_vectors(shingles, bounds, POINT_BITS)
-                rows = last - first
+                rows, sizes = last - first, np.diff(bounds)
+                # Those of the smallest set that may be linked, to its own.
+                least = bits_of(-(-percent * sizes // 100))
+                bits = [list(range(low, high + 1)) for low, high in zip(least.tolist(), bits_of(sizes).tolist())]
                 none = pa.nulls(rows, pa.int64())
                 columns = [
-                    batch.column("doc_id").slice(first, rows), pa.array(np.diff(bounds)), pa.array(own, pa.string()),
-                    pa.array(nodes_of(own)), pa.array([point.tobytes() for point in points], pa.binary()), none, none,
+                    batch.column("doc_id").slice(first, rows), pa.array(sizes), pa.array(own, pa.string()),
+                    pa.array(nodes_of(own)), pa.array(bits, pa.list_(pa.int32())),
+                    pa.array(points_of(shingles, bounds), pa.binary()), none, none,
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
         if waiting:
@@ -95,7 +131,7 @@ def _profiles(words: int):
         rows = len(frequent.tokens)
         none = pa.nulls(rows, pa.int64())
         columns = [
-            none, none, pa.nulls(rows, pa.string()), none, pa.nulls(rows, pa.binary()),
+            none, none, pa.nulls(rows, pa.string()), none, pa.nulls(rows, pa.list_(pa.int32())), pa.nulls(rows, pa.binary()),
             pa.array(frequent.tokens), pa.array(frequent.counts),
         ]
         yield pa.RecordBatch.from_arrays(columns, names)
@@ -145,24 +181,6 @@ def _postings(words: int, percent: int, shared):
     return work
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """The rows of a partition sorted by ``key``, cut so that no group is divided."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy()
-        if held and held[-1].column(key)[-1].as_py() == keys[0] and keys[0] == keys[-1]:
-            held.append(batch)
-            continue
-        start = int(np.searchsorted(keys, keys[-1]))
-        end = pa.Table.from_batches([*held, batch.slice(0, start)]).combine_chunks()
-        yield from end.to_batches()
-        held = [batch.slice(start)]
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of postings sorted by token and node: the nodes of each token that has two or more, under the name
     of the bucket, a hash of these nodes."""
@@ -200,31 +218,40 @@ def close_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right:
 
 
 def _bucket_pairs(percent: int):
+    def pairs_of(key: np.ndarray, sizes: np.ndarray, first: np.ndarray, points: np.ndarray) -> Iterator[tuple]:
+        """Places of close pairs in whole meetings, sorted, of points of the same bits."""
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        counts = np.diff(begins, append=len(key))
+        members = np.repeat(counts, counts)
+        for step in range(1, FEW):
+            i = np.flatnonzero((key[step:] == key[:-step]) & (members[:-step] <= FEW))
+            for some in np.array_split(i, len(i) * points.shape[1] // (1 << 20) + 1):
+                overlap = np.minimum(points[some], points[some + step]).sum(axis=1)
+                near = some[may_link(overlap, sizes[some], sizes[some + step], percent)]
+                yield near, near + step
+        for begin, end in zip(begins[counts > FEW].tolist(), (begins + counts)[counts > FEW].tolist()):
+            left = np.flatnonzero(first[begin:end])
+            right = left if len(left) == end - begin else np.flatnonzero(~first[begin:end])
+            if len(left) and len(right):
+                pairs = close_pairs(points[begin:end], sizes[begin:end], left, right, percent)
+                yield tuple(begin + np.array([pair[side] for pair in pairs], np.int64) for side in (0, 1))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sorted_groups(batches, "meeting"):
             key, node = rows.column("meeting").to_numpy(), rows.column("node").to_numpy()
-            sizes = rows.column("n").to_numpy()
+            sizes, bits = rows.column("n").to_numpy(), rows.column("bits").to_numpy()
             first = np.asarray(rows.column("first").to_numpy(zero_copy_only=False), bool)
-            points = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.int32).reshape(len(node), -1)
-            begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            members = np.repeat(np.diff(begins, append=len(key)), np.diff(begins, append=len(key)))
-            edges = []
-            for step in range(1, FEW):
-                i = np.flatnonzero((key[step:] == key[:-step]) & (members[:-step] <= FEW))
-                for some in np.array_split(i, max(1, len(i) >> 14)):
-                    overlap = np.minimum(points[some], points[some + step]).sum(axis=1)
-                    near = some[may_link(overlap, sizes[some], sizes[some + step], percent)]
-                    edges.append((near, near + step))
-            for begin, end in zip(begins, np.append(begins[1:], len(key))):
-                if end - begin <= FEW:
-                    continue
-                left = np.flatnonzero(first[begin:end])
-                right = left if len(left) == end - begin else np.flatnonzero(~first[begin:end])
-                if len(left) and len(right):
-                    pairs = close_pairs(points[begin:end], sizes[begin:end], left, right, percent)
-                    edges.append(tuple(begin + np.array(side, np.int64) for side in zip(*pairs)) if pairs else ([], []))
-            a, b = (node[np.concatenate(side).astype(np.int64)] for side in zip(*edges))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            own, own_bits = rows.column("point"), rows.column("own_bits").to_numpy()
+            edges = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for each in np.unique(bits).tolist():
+                mine = np.flatnonzero(bits == each)
+                points = np.zeros((len(mine), 1 << each), np.int32)
+                for k, i in enumerate(mine.tolist()):
+                    points[k] = folded(read_point(own[i].as_buffer(), own_bits[i])[None], each)
+                found = pairs_of(key[mine], sizes[mine], first[mine], points)
+                edges += [(mine[i], mine[j]) for i, j in found]
+            a, b = (pa.array(node[np.concatenate(side)]) for side in zip(*edges))
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
 
     return work
 
@@ -233,15 +260,16 @@ def bucket_families(buckets: DataFrame, classes: DataFrame, percent: int) -> Dat
     """node, family of the classes that a pair within the bound connects with another."""
     sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET_TILE).alias("tiles"))
     large = staged(sizes.filter("tiles > 1"), "large-buckets")
-    points = classes.select(F.col("node").alias("of_node"), "n", "point")
+    points = classes.select(F.col("node").alias("of_node"), "n", "bits", "point")
     dealt = buckets.join(large, "bucket", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1).cast("bigint")))
     dealt = dealt.join(points, F.col("node") == F.col("of_node")).drop("of_node")
     dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
     # Each set once for each pair of tiles that its own tile is in.
     dealt = dealt.withColumn("with", F.explode(F.expr("sequence(0L, tiles - 1)")))
-    meeting = F.xxhash64("bucket", F.least("tile", "with"), F.greatest("tile", "with"))
-    dealt = dealt.select(meeting.alias("meeting"), "node", "n", "point", (F.col("tile") <= F.col("with")).alias("first"))
-    sorted_rows = dealt.repartition("meeting").sortWithinPartitions("meeting")
+    dealt = dealt.withColumn("own_bits", F.array_max("bits")).withColumn("bits", F.explode("bits"))
+    meeting = F.xxhash64("bucket", "bits", F.least("tile", "with"), F.greatest("tile", "with"))
+    dealt = dealt.select(meeting.alias("meeting"), "node", "n", "bits", "own_bits", "point", (F.col("tile") <= F.col("with")).alias("first"))
+    sorted_rows = dealt.repartition("meeting").sortWithinPartitions("meeting", "node")
     edges = sorted_rows.mapInArrow(_bucket_pairs(percent), _EDGES)
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     return components(staged(edges, "close-pairs")).select("node", F.col("root").alias("family"))
@@ -252,7 +280,7 @@ def verified_links(
 ) -> list[tuple[int, int]]:
     """Links between sets of ``left`` and ``right`` that connect all whom such links connect."""
     sizes = np.diff(bounds)
-    points = count_vectors(values, bounds, FINE_BITS)
+    points = count_vectors(values, bounds, int(bits_of(sizes.max(keepdims=True))[0]))
     links, found = Links(len(sizes)), []
 
     def linked(i: int, j: int) -> bool:
@@ -305,11 +333,11 @@ def jaccard_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     spark = docs.sparkSession
     ship_package(spark)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    profiles = staged(texts.mapInArrow(_profiles(words), _PROFILE), "profiles")
+    profiles = staged(texts.mapInArrow(_profiles(words, percent), _PROFILE), "profiles")
     rows = profiles.filter("name IS NOT NULL")
     classes = rows.filter("n_shingles > 0").groupBy("name").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("node").alias("node"),
-        F.first("point").alias("point"),
+        F.first("bits").alias("bits"), F.first("point").alias("point"),
     )
     classes = staged(classes, "classes")
 
