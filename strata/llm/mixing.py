@@ -11,8 +11,9 @@ first, and then a window inside each range. Only tables with one row per source
 as a whole.
 
 Defined results: size is the number of words of the text, 0 for a null text. Documents of size 0 and all
-documents of an empty or wordless table have taken = 0. A null source is a source, the last. Rows with
-equal doc_id keep an order by size.
+documents of an empty or wordless table have taken = 0. A null source is a source, the last. Every row is
+mixed by itself: rows that repeat a doc_id keep an order by size and then by their written row numbers, and
+rows without one are shuffled by these numbers.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 RANGE_ROWS = 65_536
 KEY_BITS = 60
+_ORDER = ("key", "doc_id", "size", "row")
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, passes: int = MAX_PASSES) -> DataFrame:
@@ -70,17 +72,22 @@ def word_count():
 
 
 def _shuffle_key(seed: int):
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    named = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("row "), F.col("row").cast("string")))
+    text = F.concat(F.lit(f"{seed}:"), named)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, KEY_BITS // 4), 16, 10).cast("bigint")
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, passes: int = MAX_PASSES, seed: int = 0) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, size, source_size, target, passes_taken, taken and
     finish, the virtual time at which its first pass ends (null without words)."""
-    sizes = staged(
-        docs.select("doc_id", "source", word_count().alias("size"), _shuffle_key(seed).alias("key")),
-        "sizes",
-    )
+    sized = docs.select("doc_id", "source", word_count().alias("size"))
+    numbered = staged(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
+    return _mix(numbered, weights, passes, seed).drop("row")
+
+
+def _mix(numbered: DataFrame, weights, passes: int, seed: int) -> DataFrame:
+    """The mix of written rows (row, doc_id, source, size), with their numbers."""
+    sizes = numbered.select("row", "doc_id", "source", "size", _shuffle_key(seed).alias("key"))
     targets = staged(source_targets(sizes, weights, passes), "targets")
     bits = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("source_rows") / RANGE_ROWS)))
     rows = sizes.withColumnRenamed("source", "own").join(
@@ -95,11 +102,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, passes: int = MAX_PASSES, seed: int =
     parts = parts.select(
         "place", "part", F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("sent_before")
     )
-    inside = Window.partitionBy("place", "part").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("place", "part").orderBy(*_ORDER)
     sent = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) + F.col("sent_before")
     flows = staged(
         flowing.join(parts, ["place", "part"]).select(
-            "doc_id", "source", "size", "key", "source_size", "target", sent.alias("sent")
+            "row", "doc_id", "source", "size", "key", "source_size", "target", sent.alias("sent")
         ),
         "flows",
     )
@@ -110,18 +117,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, passes: int = MAX_PASSES, seed: int =
     slices = max(1, -(-passes * flows.count() // RANGE_ROWS))
     turns = turns.withColumn("slice", F.floor(F.least("finish", F.lit(float(passes))) * slices))
     cut = _cut(turns, targets)
-    order = [F.col(name) for name in ("key", "doc_id", "size")]
+    order = [F.col(name) for name in _ORDER]
     in_mix = [
         F.coalesce(F.struct(_finish(F.lit(turn)), *order, F.lit(turn)) < F.col("cut"), F.lit(True))
         for turn in range(passes)
     ]
     taken = sum((F.when(one, 1).otherwise(0) for one in in_mix), F.lit(0)).cast("bigint")
     answered = flows.join(F.broadcast(cut), how="left").select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("passes_taken"),
+        "row", "doc_id", "source", "size", "source_size", "target", taken.alias("passes_taken"),
         (taken * F.col("size")).alias("taken"), _finish(F.lit(0)).alias("finish"),
     )
     wordless = rows.filter("size = 0").select(
-        "doc_id", "source", "size", "source_size", "target", F.lit(0).cast("bigint").alias("passes_taken"),
+        "row", "doc_id", "source", "size", "source_size", "target", F.lit(0).cast("bigint").alias("passes_taken"),
         F.lit(0).cast("bigint").alias("taken"), F.lit(None).cast("double").alias("finish"),
     )
     return answered.unionByName(wordless)
@@ -144,7 +151,7 @@ def _cut(turns: DataFrame, targets: DataFrame) -> DataFrame:
         .filter("at IS NOT NULL")
         .select("at.*")
     )
-    order = ["finish", "key", "doc_id", "size", "turn"]
+    order = ["finish", *_ORDER, "turn"]
     in_order = Window.partitionBy("slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         turns.join(F.broadcast(crossed), "slice")
@@ -156,21 +163,19 @@ def _cut(turns: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mixture(docs: DataFrame, weights=WEIGHTS, passes: int = MAX_PASSES, seed: int = 0) -> DataFrame:
     """The mixed documents with all their columns, in the order of their virtual finish times; a document
-    taken in several passes comes several times. Rows that agree in doc_id, source and size are taken
-    alike."""
-    taken = mix(docs, weights, passes, seed).filter("passes_taken > 0")
-    taken = taken.groupBy("doc_id", "source", "size").agg(
-        F.max("passes_taken").alias("__strata_passes"), F.min("finish").alias("__strata_first"),
-        F.first("source_size").alias("__strata_sent"), F.first("target").alias("__strata_target"),
-    )
-    taken = taken.select(
-        *[F.col(name).alias(f"__strata_{name}") for name in ("doc_id", "source", "size")],
-        "__strata_passes", "__strata_first", (F.col("__strata_sent") / F.col("__strata_target")).alias("__strata_round"),
-    )
-    same = [F.col("doc_id").eqNullSafe(F.col("__strata_doc_id")), F.col("source").eqNullSafe(F.col("__strata_source"))]
+    taken in several passes comes several times.
+
+    The rows are written with their numbers, so that what is decided for a row is joined to this row, however
+    many others share its doc_id.
+    """
+    written = staged(docs.withColumn("__strata_row", F.monotonically_increasing_id()), "numbered")
+    sized = written.select(F.col("__strata_row").alias("row"), "doc_id", "source", word_count().alias("size"))
+    taken = _mix(staged(sized, "sizes"), weights, passes, seed).filter("passes_taken > 0").select(
+        F.col("row").alias("__strata_row"), F.col("passes_taken").alias("__strata_passes"),
+        F.col("finish").alias("__strata_first"), (F.col("source_size") / F.col("target")).alias("__strata_round"),
+    )
     return (
-        docs.withColumn("__strata_words", word_count())
-        .join(taken, [*same, F.col("__strata_words") == F.col("__strata_size")])
+        written.join(taken, "__strata_row")
         .withColumn("__strata_turn", F.explode(F.expr("sequence(0, int(__strata_passes) - 1)")))
         .orderBy(F.col("__strata_first") + F.col("__strata_turn") * F.col("__strata_round"))
         .select(*docs.columns)

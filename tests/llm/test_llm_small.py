@@ -121,6 +121,52 @@ def test_mix_comes_near_targets_and_repeats(spark):
         mixing.RANGE_ROWS = ranged
 
 
+def test_mixture_takes_each_row_by_itself(spark):
+    # Rows that agree in doc_id, source and size: some are taken once more than others.
+    rows = [(None, "y", f"a b c d e f {k}") for k in range(12)] + [(k, "x", "a b c") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").withColumn("row", F.lit(1))
+    taken = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("words"), F.first("target").alias("target")).collect()
+    assert all(abs(row.words - row.target) <= 7 for row in taken)
+    mixed = mixing.mixture(docs)
+    assert mixed.columns == docs.columns
+    words = mixed.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("words")).collect()
+    assert {row.source: row.words for row in words} == {row.source: row.words for row in taken}
+
+
+@pytest.mark.parametrize("odd_stage", ["mixture", "keep_good"])
+def test_stages_keep_odd_rows_whole(spark, odd, none, labels, odd_stage):
+    def stage(docs):
+        return mixing.mixture(docs) if odd_stage == "mixture" else quality.keep_good(docs, labels, "quality", quality.fold(), 0.0)
+
+    kept = stage(odd)
+    assert kept.columns == odd.columns
+    found, given = Counter(map(tuple, kept.collect())), Counter(map(tuple, odd.collect()))
+    assert set(found) <= set(given)
+    assert odd_stage == "mixture" or found == given
+    assert stage(none).collect() == []
+
+
+def test_scores_of_many_equal_rows(spark):
+    # Blocks are cut by their bytes, whatever repeats.
+    rows = [(1, "one row that comes many times over")] * 10_000 + [(2, "another")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    scored = ppm.score(docs, F.lit(False), block_bytes=20_000)
+    assert scored.count() == 10_001
+    assert scored.select("doc_id", "score").distinct().count() == 2
+    blocks = docs.select("doc_id", F.lit(False).alias("held_out"), "text").mapInArrow(ppm._counter(ppm.ORDER, 20_000), ppm._BLOCKS)
+    sizes = Counter()
+    for row in blocks.filter("documents IS NOT NULL").collect():
+        sizes[row.block] += sum(map(len, ppm.unpacked(bytes(row.documents)).column("text").to_pylist()))
+    assert len(sizes) > 10 and max(sizes.values()) <= 20_000
+
+
+def test_leading_axes_span_those_of_the_whole_decomposition():
+    draw = np.random.default_rng(1)
+    rows = (draw.normal(size=(300, 60)) * np.linspace(4, 0.1, 60)).astype(np.float32)
+    own, exact = quality.leading_axes(rows, 8, 60), np.linalg.svd(rows, full_matrices=False)[2][:8]
+    assert np.linalg.svd(exact @ own)[1].min() > 0.99
+
+
 def test_mixture_repeats_documents(spark):
     rows = spark.createDataFrame([(1, "a b", "x"), (2, "c d e f g h i j", "y"), (3, None, "y")], "doc_id bigint, text string, source string")
     taken = {row.doc_id: row.passes_taken for row in mixing.mix(rows).collect()}
@@ -477,7 +523,7 @@ def test_exact_vote():
     draw = np.random.default_rng(2)
     counts = draw.integers(0, 4, (60, quality.TERMS)).astype(np.float32)
     good = draw.integers(0, 2, 60).astype(float)
-    model = quality.LatentVote.fit(counts, good, latent=8)
+    model = quality.LatentVote.fit(counts.copy(), good, latent=8)
     asked = draw.integers(0, 4, (7, quality.TERMS)).astype(np.float32)
     latent = quality._unit(quality._weights(asked, model.rarity) @ model.axes)
     for row, score in zip(latent, model.vote(asked, 5, 4.0)):
