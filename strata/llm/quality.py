@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import (
     crc_remainder,
     mixed,
+    release_memory,
     ship_package,
     span_hashes,
     text_chunks,
@@ -74,6 +75,18 @@ def term_counts(data: np.ndarray, offsets: np.ndarray, terms: int = TERMS) -> np
     return np.bincount(cells, minlength=rows * terms).reshape(rows, terms).astype(np.float32)
 
 
+def leading_axes(rows: np.ndarray, most: int, rounds: int = 12) -> np.ndarray:
+    """The right singular vectors of the largest singular values, by subspace iteration from a fixed start with some
+    axes to spare: (columns, ``most``)."""
+    wide = min(rows.shape[1], most + 16)
+    axes = np.random.default_rng(13).normal(size=(rows.shape[1], wide)).astype(np.float32)
+    for _ in range(rounds):
+        axes = np.linalg.qr(rows.T @ (rows @ axes))[0]
+    seen = rows @ axes
+    _, turn = np.linalg.eigh((seen.T @ seen).astype(float))
+    return (axes @ turn[:, ::-1][:, :most]).astype(np.float32)
+
+
 @dataclass
 class LatentVote:
     """The fitted classifier: bounded by the sample and the number of terms and dimensions."""
@@ -86,14 +99,13 @@ class LatentVote:
 
     @classmethod
     def fit(cls, counts: np.ndarray, good: np.ndarray, latent: int = LATENT) -> LatentVote:
+        """``counts`` becomes the weights: of the sample there is one copy, and beside it only narrow arrays."""
         share = float(good.mean()) if len(good) else 0.5
         rarity = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-        weights = _weights(counts, rarity)
-        if len(good):
-            _, axes = np.linalg.eigh(weights.T.astype(float) @ weights)
-            axes = axes[:, ::-1][:, :latent].astype(np.float32)
-        else:
-            axes = np.zeros((counts.shape[1], 1), np.float32)
+        weights = counts
+        for first in range(0, len(counts), BLOCK):
+            weights[first : first + BLOCK] = _weights(counts[first : first + BLOCK], rarity)
+        axes = leading_axes(weights, latent) if len(good) else np.zeros((counts.shape[1], 1), np.float32)
         vectors = _unit(weights @ axes)
         # A row without terms has no direction to vote from.
         there = np.linalg.norm(vectors, axis=1) > 0
@@ -148,13 +160,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, teaches: Column, most: i
         sample.select("text", "label", "order")
         .mapInArrow(_sample_counts, "label int, order bigint, counts binary")
         .orderBy("order", "label")
-        .collect()
+        .toArrow()
     )
-    counts = np.zeros((len(rows), TERMS), np.float32)
-    for i, row in enumerate(rows):
-        packed = np.frombuffer(row.counts, np.float32).reshape(2, -1)
-        counts[i, packed[0].astype(np.int64)] = packed[1]
-    return LatentVote.fit(counts, np.array([row.label for row in rows], float))
+    counts = np.zeros((rows.num_rows, TERMS), np.float32)
+    for i, packed in enumerate(rows.column("counts")):
+        places, values = np.frombuffer(packed.as_buffer(), np.float32).reshape(2, -1)
+        counts[i, places.astype(np.int64)] = values
+    model = LatentVote.fit(counts, rows.column("label").to_numpy().astype(float))
+    del rows, counts
+    release_memory()
+    return model
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +198,7 @@ def vote_column(model: LatentVote, spark: SparkSession) -> Column:
                 for _, _, data, offsets in text_chunks(pa.array(texts, pa.large_string(), from_pandas=True))
             ]
             yield pd.Series(np.concatenate([np.zeros(0), *scores]))
+        release_memory()
 
     return vote(F.coalesce(F.col("text"), F.lit("")))
 
@@ -204,7 +220,16 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` whose score is ``least`` or more, with all their columns."""
     model = fit(docs, labels, label, ~F.coalesce(held_out, F.lit(False)), most)
-    return docs.filter(vote_column(model, docs.sparkSession) >= least)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in text_chunks(batch.column("text")):
+                scores = shared.value.vote(term_counts(data, offsets), NEIGHBOURS, SHARPNESS)
+                yield batch.slice(first, last - first).filter(pa.array(scores >= least))
+            release_memory()
+
+    return docs.mapInArrow(work, docs.schema)
 
 
 def fold(parts: int = 5) -> Column:
