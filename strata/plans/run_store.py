@@ -2,13 +2,15 @@
 
 A stage is known by its name and a fingerprint of what it was made from: the landing listing, the options, and
 the fingerprints of the stages before it. Its layer is written to a new folder or table, and one row is then
-added to the record (``run_manifest``): stage, fingerprint, target, schema. Only recorded layers are read, so
+added to the record (``run_manifest``, a table, or a folder with a small file for each): stage, fingerprint, target,
+schema, time. Only recorded layers are read, so
 a run that was killed goes on behind the last recorded stage, whatever files the unfinished one left; the
 same run again writes nothing.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 import uuid
@@ -16,13 +18,12 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.sinks.tables import write_table
 from strata.sources.tables import is_folder, read_table
 
-_ENTRY = "stage string, fingerprint string, target string, schema string, done_at timestamp"
+_ENTRY = "stage string, fingerprint string, target string, schema string, done_at timestamp_ntz"
 
 
 def fingerprint(*parts: object) -> str:
@@ -43,7 +44,11 @@ class RunStore:
     def _read(self) -> dict[tuple[str, str], tuple[str, str]]:
         """Target and schema by stage and fingerprint: as many as the stages of the runs."""
         try:
-            rows = read_table(self.spark, self.manifest, StructType.fromDDL(_ENTRY)).orderBy("done_at").collect()
+            if is_folder(self.manifest):
+                record = self.spark.read.schema(_ENTRY).json(self.manifest)
+            else:
+                record = read_table(self.spark, self.manifest)
+            rows = record.orderBy("done_at").collect()
         except AnalysisException:
             return {}
         entries: dict[tuple[str, str], tuple[str, str]] = {}
@@ -85,15 +90,28 @@ class RunStore:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
+    def _write_file(self, line: str) -> None:
+        """A file of the record, under a name that readers leave out until it is whole."""
+        path, name = self.spark._jvm.org.apache.hadoop.fs.Path, f"{uuid.uuid4().hex}.json"
+        unfinished, finished = path(self.manifest, f"_{name}"), path(self.manifest, name)
+        files = finished.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        out = files.create(unfinished, False)
+        try:
+            out.write(bytearray(line.encode()))
+        finally:
+            out.close()
+        if not files.rename(unfinished, finished):
+            raise OSError(f"{unfinished} cannot be renamed")
+
     def _record(self, stage: str, mark: str, target: str, schema: StructType) -> None:
-        entry = self.spark.createDataFrame(
-            [(stage, mark, target, schema.json())], "stage string, fingerprint string, target string, schema string"
-        ).withColumn("done_at", F.current_timestamp()).coalesce(1)
+        entry = (stage, mark, target, schema.json(), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         if is_folder(self.manifest):
-            entry.write.mode("append").parquet(self.manifest)
-        elif self.spark.catalog.tableExists(self.manifest):
-            entry.write.mode("append").insertInto(self.manifest)
+            self._write_file(json.dumps(dict(zip(StructType.fromDDL(_ENTRY).names, entry)), default=str))
         else:
-            write_table(entry, self.manifest)
+            rows = self.spark.createDataFrame([entry], _ENTRY).coalesce(1)
+            if self.spark.catalog.tableExists(self.manifest):
+                rows.write.mode("append").insertInto(self.manifest)
+            else:
+                write_table(rows, self.manifest)
         self._entries.pop((stage, mark), None)
         self._entries[stage, mark] = (target, schema.json())
