@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import ann, bloom, exact_dedup, minhash, mixing, ppm, quality, sentencepiece, token_count, toxicity, url_filter
-from strata.llm.common import crc_remainder
+from strata.llm.common import crc_remainder, table
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Names that the operators use inside.
@@ -323,6 +323,38 @@ def test_recall_and_exact_scores(spark):
         assert len(found) == 75 * 20 and hits / len(found) >= 0.9
 
 
+@pytest.mark.parametrize("shape", [{}, {"shard_rows": 150, "query_rows": 10}])
+def test_recall_on_the_given_vectors(spark, data, shape):
+    given = table(spark, data, "embeddings")
+    usable = ann.usable(given).toPandas()
+    ids, exact = usable["vec_id"].to_numpy(), np.stack(usable["vector"].to_numpy())
+    found = ann.nearest(given, F.col("vec_id") % 20 == 0, k=20, **shape).toPandas()
+    hits = wanted = 0
+    for query in np.flatnonzero(ids % 20 == 0):
+        scores = exact @ exact[query]
+        best = [i for i in np.lexsort((ids, -scores)) if ids[i] != ids[query]][:20]
+        own = found[found["query_id"] == ids[query]]
+        assert len(own) == len(best)
+        hits, wanted = hits + len(set(ids[best]) & set(own["vec_id"])), wanted + len(best)
+    assert hits / wanted >= 0.95
+
+
+def test_search_ends_on_the_smallest_number_that_finds_the_sample():
+    draw = np.random.default_rng(4)
+    entries = draw.standard_normal((3000, 24))
+    queries, most = entries[:40], np.linalg.norm(entries, axis=1).max()
+    scored = {}
+    for recall in (0.5, 0.96, 1.0):
+        hits, scored[recall] = 0, 0
+        for query, found, scores in ann.search(entries, most, queries, 10, 64, 24, recall):
+            exact = entries @ queries[query]
+            exact[query] = -np.inf
+            assert np.allclose(scores, entries[found] @ queries[query]) and len(set(found)) == len(found)
+            hits, scored[recall] = hits + len(set(np.argsort(-exact)[:10]) & set(found)), scored[recall] + len(found)
+        assert hits >= recall * 400
+    assert scored[0.5] < scored[0.96] / 2 < len(entries) * len(queries) / 4 and scored[0.96] <= scored[1.0]
+
+
 @pytest.mark.parametrize("copies", [3, 4, 8, 14, 19])
 def test_near_copies_do_not_end_a_search(spark, copies):
     draw = np.random.default_rng(copies)
