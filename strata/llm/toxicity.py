@@ -6,9 +6,9 @@ only spell a lexicon entry once look-alike characters are undone. Every document
 pass over the texts; trees and calibration are applied to the features.
 
 The classifier is fitted on at most ``SAMPLE_ROWS`` / 2 labelled rows of either class, those with the smallest
-hashes of their texts, equal texts once; a fifth of them, by hash, calibrates. The learned lexicon holds at
-most ``LEARNED_TERMS`` stems, the first ``STEM`` characters of words. All of it is bounded; scores cover all
-documents.
+hashes of their texts, equal texts once; a fifth of them, by hash, calibrates and teaches neither stems nor
+trees. The learned lexicon holds at most ``LEARNED_TERMS`` stems, the first ``STEM`` characters of words. All of
+it is bounded; scores cover all documents.
 
 Defined results: a null, empty or wordless text has the features 0 and their score. Null labels do not
 teach. Where a class has no labelled row, the score is the share of toxic rows in the sample (0.5 without
@@ -19,13 +19,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,6 +185,60 @@ def learned_stems(sample: DataFrame, most: int = LEARNED_TERMS) -> list[str]:
     return [row.stem for row in rows]
 
 
+@dataclass(frozen=True)
+class Classifier:
+    """Learned stems, trees over the features, and the curve that calibrates the margin of the trees."""
+
+    stems: list[str]
+    trees: GBTClassificationModel
+    curve: IsotonicRegressionModel
+
+    def scores(self, texts: DataFrame) -> DataFrame:
+        """doc_id, held_out, score of rows with doc_id, held_out, text."""
+        features = texts.mapInArrow(_feature_rows(self.stems), _FEATURE_ROWS)
+        # Between calibrated levels the margin decides the order; it moves a score by a thousandth at most.
+        value = F.col("__calibrated") * 0.999 + F.col("__margin") * 0.001
+        value = F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+        return self.curve.transform(_margin(self.trees, features)).select(
+            "doc_id", "held_out", value.alias("score")
+        )
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="__features").transform(rows)
+
+
+def _margin(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
+    scored = trees.transform(_gathered(rows)).withColumn("__margin", vector_to_array("probability")[1])
+    return scored.drop("rawPrediction", "probability", "prediction")
+
+
+def calibrates(order: Column) -> Column:
+    """Which rows of the sample calibrate, by the hash of their text."""
+    return F.pmod(F.xxhash64(F.lit(3), order.cast("bigint")), F.lit(CALIBRATION_FIFTH)) == 0
+
+
+def fit(sample: DataFrame, rows: int) -> Classifier:
+    """The classifier of a sample (text, label, order) of ``rows`` rows of both classes."""
+    for_curve = calibrates(F.col("order"))
+    for_trees = ~for_curve
+    if rows < LEAST_SPLIT:
+        for_trees = for_curve = F.lit(True)
+    learned = learned_stems(sample.filter(for_trees))
+    # Rows of the sample carry their label and hash in the columns of a document.
+    taught = sample.select(F.col("order").alias("doc_id"), (F.col("label") == 1).alias("held_out"), "text")
+    taught = taught.mapInArrow(_feature_rows(learned), _FEATURE_ROWS)
+    taught = taught.withColumnRenamed("doc_id", "order").withColumn("label", F.col("held_out").cast("double"))
+    taught = staged(taught, "features")
+    trees = GBTClassifier(
+        featuresCol="__features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1
+    ).fit(_gathered(taught.filter(for_trees)).coalesce(4))
+    curve = IsotonicRegression(featuresCol="__margin", labelCol="label", predictionCol="__calibrated")
+    return Classifier(
+        learned, trees, curve.fit(_margin(trees, taught.filter(for_curve)).select("__margin", "label"))
+    )
+
+
 def score(
     docs: DataFrame, labels: DataFrame, label: str, held_out: Column, most: int = SAMPLE_ROWS
 ) -> DataFrame:
@@ -199,29 +254,4 @@ def score(
     if len(classes) < 2:
         share = float(next(iter(classes))) if classes else 0.5
         return texts.select("doc_id", "held_out", F.lit(share).alias("score"))
-    learned = learned_stems(sample)
-    # Rows of the sample carry their label and part in the columns of a document.
-    taught = sample.select(F.col("order").alias("doc_id"), (F.col("label") == 1).alias("held_out"), "text")
-    taught = staged(taught.mapInArrow(_feature_rows(learned), _FEATURE_ROWS), "features")
-    taught = taught.withColumn("label", F.col("held_out").cast("double"))
-    calibrates = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(CALIBRATION_FIFTH)) == 0
-    trains = ~calibrates
-    if sum(classes.values()) < LEAST_SPLIT:
-        trains = calibrates = F.lit(True)
-
-    gather = VectorAssembler(inputCols=list(FEATURES), outputCol="__features")
-    trees = GBTClassifier(
-        featuresCol="__features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1
-    ).fit(gather.transform(taught.filter(trains).coalesce(4)))
-
-    def margin(rows: DataFrame) -> DataFrame:
-        scored = trees.transform(gather.transform(rows))
-        scored = scored.withColumn("__margin", vector_to_array("probability")[1])
-        return scored.drop("rawPrediction", "probability", "prediction")
-
-    calibration = IsotonicRegression(featuresCol="__margin", labelCol="label", predictionCol="__calibrated")
-    curve = calibration.fit(margin(taught.filter(calibrates)).select("__margin", "label"))
-    features = texts.mapInArrow(_feature_rows(learned), _FEATURE_ROWS)
-    # Between calibrated levels the margin decides the order; it moves a score by a thousandth at most.
-    value = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__calibrated") * 0.999 + F.col("__margin") * 0.001))
-    return curve.transform(margin(features)).select("doc_id", "held_out", value.alias("score"))
+    return fit(sample, sum(classes.values())).scores(texts)

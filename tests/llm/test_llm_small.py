@@ -542,6 +542,79 @@ def test_held_out_accuracy(spark, operator, label, least):
     assert ((scored["score"] >= least) == (scored[label] == 1)).mean() > 0.95
 
 
+def plain_features(text, learned):
+    """The features one word and one character at a time."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    edges = toxicity._EDGES.decode()
+    plain = [word.strip(edges) for word in words]
+    undone = ["".join(toxicity.LOOK_ALIKES.get(c, c) for c in word) for word in words]
+    strange = [any(c in toxicity.LOOK_ALIKES for c in word) for word in plain]
+    listed = [word in toxicity.LEXICON for word in plain]
+    taught = [len(word.encode()) >= 4 and word[: toxicity.STEM] in learned for word in plain]
+    hidden = [
+        odd and not own and (word in toxicity.LEXICON or word.strip(edges) in toxicity.LEXICON)
+        for odd, own, word in zip(strange, listed, undone)
+    ]
+    odd = [is_odd and any(c.isalpha() for c in word) for is_odd, word in zip(strange, plain)]
+    persons = [i for i, word in enumerate(plain) if word in toxicity.SECOND_PERSON]
+    hits = [i for i in range(len(words)) if listed[i] or taught[i] or hidden[i]]
+    near = sum(any(abs(i - person) <= toxicity.NEAR for person in persons) for i in hits)
+    n, size = max(len(words), 1), max(len(text.encode()), 1)
+    return [
+        sum(listed) / n, min(sum(listed), 20), sum(taught) / n, min(sum(taught), 20), near / n,
+        sum("A" <= c <= "Z" for c in text) / size,
+        sum(33 <= ord(c) < 48 or 58 <= ord(c) < 65 or 91 <= ord(c) < 97 or 123 <= ord(c) < 127 for c in text) / size,
+        text.count("!") / size, sum(hidden) / n, sum(odd) / n, math.log1p(len(words)),
+    ]
+
+
+def plain_score(model, features):
+    """Every tree walked from its root, then the curve between its two neighbouring points."""
+    raw = 0.0
+    for tree, weight in zip(model.trees.trees, model.trees.treeWeights):
+        node = tree._call_java("rootNode")
+        while node.subtreeDepth():
+            split = node.split()
+            node = node.leftChild() if features[split.featureIndex()] <= split.threshold() else node.rightChild()
+        raw += weight * node.prediction()
+    margin = 1 / (1 + math.exp(-2 * raw))
+    level = np.interp(margin, model.curve.boundaries.toArray(), model.curve.predictions.toArray())
+    return min(1.0, max(0.0, 0.999 * level + 0.001 * margin))
+
+
+def test_toxicity_equals_plain_features_trees_and_curve(spark, data):
+    docs, labels = table(spark, data, "documents"), table(spark, data, "labels")
+    sample = quality.labelled_sample(docs, labels, "toxic", ~quality.fold(), 600)
+    model = toxicity.fit(sample, sample.count())
+    texts = [
+        "", "   ", "You ST*PID idiot!!! you", "1d1ot, 5tup1d. Sie sind", "ÄÖ café\x1fnaïve\u3000x", "a\tb\nc" * 50,
+        "you " + "far " * 4 + "liar " + "far " * 9 + "liar", "!!!", "$$$ m0ron @you", "fool " * 500,
+        *[row.text for row in docs.filter("text IS NOT NULL").orderBy("doc_id").limit(60).collect()],
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("held_out", F.lit(True))
+    found = {row.doc_id: row for row in frame.mapInArrow(toxicity._feature_rows(model.stems), toxicity._FEATURE_ROWS).collect()}
+    scores = {row.doc_id: row.score for row in model.scores(frame).collect()}
+    assert len(scores) == len(texts)
+    for i, text in enumerate(texts):
+        features = plain_features(text, model.stems)
+        assert np.allclose([found[i][name] for name in toxicity.FEATURES], features, rtol=1e-12), text[:40]
+        assert math.isclose(scores[i], plain_score(model, features), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_calibrating_rows_teach_neither_stems_nor_trees(spark):
+    docs, labels = learnable(spark)
+    sample = quality.labelled_sample(docs, labels, "toxic", ~quality.fold(), 600)
+    aside = toxicity.calibrates(F.col("order"))
+    other = F.when(aside, 1 - F.col("label")).otherwise(F.col("label"))
+    first, second = (
+        toxicity.fit(own, sample.count()) for own in (sample, sample.withColumn("label", other.cast("int")))
+    )
+    assert sample.filter(aside).count() > 20 and first.stems == second.stems
+    assert first.trees.toDebugString.split("\n", 1)[1] == second.trees.toDebugString.split("\n", 1)[1]
+    assert first.curve.predictions != second.curve.predictions
+
+
 def test_held_out_labels_do_not_teach(spark):
     docs, labels = learnable(spark)
     turned = labels.withColumn("quality", F.when(quality.fold(), 1 - F.col("quality")).otherwise(F.col("quality")))
