@@ -46,11 +46,13 @@ def sum_parts(value: str, decimals: int = DECIMALS, of: Mapping[str, str] | None
     ticks, number = of["ticks"], of["number"]
     value = f"double({value})"
     whole = f"cast({number} AS decimal(28,0))"
+    # The filter keeps the sums of decimals, which are slow to read and write, out of rows that have none.
+    if_any = f"FILTER (WHERE {number} IS NOT NULL)"
     return {
         "high": f"sum(shiftright({ticks}, {LOW_BITS}))",
         "low": f"sum(({ticks}) & {(1 << LOW_BITS) - 1}L)",
-        "whole": f"sum({whole})",
-        "fraction": f"sum(cast({number} - cast({whole} AS {_NUMBER}) AS decimal({FRACTION + 1},{FRACTION})))",
+        "whole": f"sum({whole}) {if_any}",
+        "fraction": f"sum(cast({number} - cast({whole} AS {_NUMBER}) AS decimal({FRACTION + 1},{FRACTION}))) {if_any}",
         # NaN sorts above every number in Spark, so one comparison drops it with the infinities.
         "rest": (
             f"sum(CASE WHEN abs({value}) >= {LARGE} AND abs({value}) < {_INFINITY} THEN {value}"
