@@ -46,6 +46,14 @@ def test_a_rollup_reads_its_columns_once_and_shuffles_partial_sums(stored):
     assert tree.count("Sort") == 1 and tree.index("Sort") < tree.index("Coalesce") < tree.index("HashAggregate")
 
 
+def test_sums_of_decimals_skip_rows_that_count_in_ticks(stored):
+    plan = explained(rollup.gold_by(stored, "hour"))
+    partial = max(re.findall(r"^Functions .*partial_sum.*$", plan, re.M), key=len)
+    decimals = re.findall(r"partial_sum\(cast\(\(?_number_\w+#\d+ (?:as|-)", partial)
+    filtered = re.findall(r"FILTER \(WHERE isnotnull\(_number_(\w+)#", partial)
+    assert len(decimals) == len(filtered) and sorted(filtered) == sorted(2 * list(fv.MONEY_AND_DISTANCE))
+
+
 def test_the_ladder_is_one_scan_of_the_gate_columns(stored):
     plan = explained(quality_ladder(stored, trip_gates()))
     assert plan.count("ReadSchema") == 1
