@@ -7,7 +7,7 @@ import sys
 import tempfile
 import types
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -21,6 +21,8 @@ from strata.session import scratch_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 CHUNK_BYTES = 1 << 20
+# What a task hands to its Python worker at once.
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +64,23 @@ def release_memory() -> None:
         pass  # another C library
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Have tasks hand rows to Python workers ``ARROW_BYTES`` at once. By default it is 10,000 rows or 64 MB, and the
+    task's buffers, which grow by doubling, the message and the worker each hold a copy."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work``, after whose last batch the worker gives memory back: idle workers stay beside those that follow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Once it is through, what ``work`` held is free.
+        yield from work(batches)
+        release_memory()
+
+    return run
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
     """The rows of a partition sorted by ``key``, cut so that no group is divided."""
     held: list[pa.RecordBatch] = []

@@ -32,8 +32,11 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from strata.llm.bloom import blocked_bloom, may_be_in
 from strata.llm.common import (
     LOWER,
+    bound_batches,
     distinct,
     mixed,
+    release_memory,
+    released,
     ship_package,
     span_hashes,
     staged,
@@ -162,8 +165,9 @@ def signatures(
 ) -> DataFrame:
     """doc_id, n_shingles, name (of the shingle set) and the band keys of each row."""
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.mapInArrow(_signatures(words, permutations, in_band), SIGNATURES)
+    return texts.mapInArrow(released(_signatures(words, permutations, in_band)), SIGNATURES)
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -223,7 +227,7 @@ def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     alone = docs.join(own, same_id, "left_semi")
     others = docs.filter("doc_id IS NULL").unionByName(docs.join(repeated, same_id, "left_semi"))
     schema = StructType([*docs.schema.fields, *_NAMED])
-    named = others.mapInArrow(_with_names(words), schema)
+    named = others.mapInArrow(released(_with_names(words)), schema)
     same_row = F.col("doc_id").eqNullSafe(F.col("__strata_doc_id")) & (F.col("__strata_name") == F.col("__strata_kept"))
     first = named.filter("__strata_shingles > 0").join(kept, same_row, "left_semi")
     first = first.dropDuplicates(["doc_id", "__strata_name"])
@@ -240,7 +244,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, family: DataFrame, words: in
     ids = wanted.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")).distinct()
     texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
     texts = may_be_in(texts, "id", blocked_bloom(ids, "id"))
-    sets = texts.select("text").mapInArrow(_sets(words), SETS).dropDuplicates(["name"])
+    sets = texts.select("text").mapInArrow(released(_sets(words)), SETS).dropDuplicates(["name"])
     return sets.join(wanted.select("name", "node", "family"), "name").select("node", "family", "shingles")
 
 
@@ -295,6 +299,8 @@ def _tile_links(percent: int):
         links = []
         if len(left) and len(right) and len(node) > 1:
             links = spanning_links(values, sizes, left, right, percent)
+            if len(node) >= TILE // 2:
+                release_memory()
         a = [int(node[i]) for i, _ in links]
         b = [int(node[j]) for _, j in links]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})

@@ -27,9 +27,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import (
+    bound_batches,
     crc_remainder,
     mixed,
     release_memory,
+    released,
     ship_package,
     span_hashes,
     text_chunks,
@@ -155,6 +157,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, teaches: Col
 def fit(docs: DataFrame, labels: DataFrame, label: str, teaches: Column, most: int = SAMPLE_ROWS) -> LatentVote:
     sample = labelled_sample(docs, labels, label, teaches, most)
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     # Counts of at most ``most`` rows come to the driver, not their texts.
     rows = (
         sample.select("text", "label", "order")
@@ -227,9 +230,8 @@ def keep_good(
             for first, last, data, offsets in text_chunks(batch.column("text")):
                 scores = shared.value.vote(term_counts(data, offsets), NEIGHBOURS, SHARPNESS)
                 yield batch.slice(first, last - first).filter(pa.array(scores >= least))
-            release_memory()
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(released(work), docs.schema)
 
 
 def fold(parts: int = 5) -> Column:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import mixed, ship_package, worker_memo
+from strata.llm.common import mixed, released, ship_package, worker_memo
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -411,7 +411,7 @@ def encode(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
         model = file.read()
     shared = spark.sparkContext.broadcast((hash(model), PieceModel.parse(model)))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return texts.mapInArrow(_worker(shared), _CODED)
+    return texts.mapInArrow(released(_worker(shared)), _CODED)
 
 
 def decode(coded: DataFrame, model_path: str = MODEL) -> DataFrame:
